@@ -6,11 +6,17 @@ x = df / (df + t^2), by its continued fraction (modified Lentz method).
 
 from __future__ import annotations
 
+import sys
 from math import lgamma
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
+
+# Workers get these functions with the task, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _TINY = 1e-300
 _MAX_TERMS = 100_000
@@ -85,11 +91,11 @@ def _rowwise(function, first: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(out).astype(object).where(~np.isnan(out), None)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_tail(t: pd.Series, df: pd.Series) -> pd.Series:
     return _rowwise(two_sided_tail, t, df)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_quantile(level: pd.Series, df: pd.Series) -> pd.Series:
     return _rowwise(upper_quantile, level, df)

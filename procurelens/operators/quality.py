@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from procurelens.functions.text import bracketed, is_padded, show_spaces, trim_s
 from procurelens.schemas import VENDOR_KEYS
 
 
-def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     counts = [
         df.agg(F.count("*").alias("total_rows")).select(F.lit(name).alias("table_name"), "total_rows")
         for name, df in tables.items()
@@ -24,7 +25,7 @@ def preview(df: DataFrame, rows: int = 5, order: list[str] | None = None) -> Dat
     return df.orderBy(*(order or df.columns)).limit(rows)
 
 
-def vendor_rows(tables: dict[str, DataFrame], vendor: int) -> DataFrame:
+def vendor_rows(tables: Mapping[str, DataFrame], vendor: int) -> DataFrame:
     """Every raw row of one vendor, tagged with its table; columns a table lacks are NULL."""
     parts = []
     for name, key in VENDOR_KEYS.items():

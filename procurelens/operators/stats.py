@@ -59,18 +59,17 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
         .groupBy("pair")
         .agg(F.expr("try_divide(covar_pop(x, y), stddev_pop(x) * stddev_pop(y)) AS corr"))
     )
-    names = [s for a, b in pairs for s in ((a, b),)]
-    firsts = ", ".join(f"'{a}'" for a, _ in names)
-    seconds = ", ".join(f"'{b}'" for _, b in names)
+    firsts = ", ".join(f"'{a}'" for a, _ in pairs)
+    seconds = ", ".join(f"'{b}'" for _, b in pairs)
     named = moments.selectExpr(
         f"array({firsts})[pair] AS col_a",
         f"array({seconds})[pair] AS col_b",
         "CASE WHEN corr IS NOT NULL THEN greatest(-1D, least(1D, corr)) END AS corr",
     )
     # Mirror the upper triangle.
-    return named.selectExpr(
-        "inline(CASE WHEN col_a = col_b THEN array(struct(col_a, col_b, corr))"
-        " ELSE array(struct(col_a, col_b, corr), struct(col_b, col_a, corr)) END) AS (col_a, col_b, corr)"
+    both = "array(named_struct('col_a', col_a, 'col_b', col_b), named_struct('col_a', col_b, 'col_b', col_a))"
+    return named.selectExpr("corr", f"inline(array_distinct({both})) AS (col_a, col_b)").select(
+        "col_a", "col_b", "corr"
     )
 
 
@@ -233,11 +232,12 @@ def welch_test(df: DataFrame, value: str, first: Column, second: Column, alpha:
 
     return (
         df.agg(*sample(first, "a"), *sample(second, "b"))
-        .selectExpr("*", "var_a / n_a AS sq_a", "var_b / n_b AS sq_b")
+        .selectExpr("*", "try_divide(var_a, n_a) AS sq_a", "try_divide(var_b, n_b) AS sq_b")
         .selectExpr(
             "n_a", "mean_a", "n_b", "mean_b",
             "try_divide(mean_a - mean_b, sqrt(sq_a + sq_b)) AS t_stat",
-            "try_divide(pow(sq_a + sq_b, 2), pow(sq_a, 2) / (n_a - 1) + pow(sq_b, 2) / (n_b - 1)) AS df",
+            "try_divide(pow(sq_a + sq_b, 2), "
+            "try_divide(pow(sq_a, 2), n_a - 1) + try_divide(pow(sq_b, 2), n_b - 1)) AS df",
         )
         .withColumn("p_value", t_tail(F.col("t_stat"), F.col("df")))
         .withColumn("reject", F.col("p_value") < alpha)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +52,7 @@ def sales_totals(sales: DataFrame) -> DataFrame:
     )
 
 
-def vendor_summary(tables: dict[str, DataFrame], ordered: bool = True) -> DataFrame:
+def vendor_summary(tables: Mapping[str, DataFrame], ordered: bool = True) -> DataFrame:
     """One row per purchase group with its sales and its vendor's freight.
 
     Pairs without sales and vendors without invoices stay, with NULLs. ``freight_cost`` is a

@@ -6,14 +6,26 @@ sales. Stray spaces, zero prices and a textual volume are put in so that cleanin
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MONEY = "decimal(15,2)"
 
+# Columns in use; a stated schema spares the job that infers one.
+STAR_SCHEMAS = {
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_linestatus string"
+    ),
+    "part": "p_partkey bigint, p_name string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string",
+}
+
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    return spark.read.schema(STAR_SCHEMAS[table]).parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
 def _hundredths(name: str) -> Column:
@@ -113,6 +125,21 @@ TABLES = {
 }
 
 
-def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All six canonical tables, unevaluated."""
-    return {name: build(spark, sf_dir) for name, build in TABLES.items()}
+class StarTables(Mapping):
+    """The six canonical tables of a folder; each is declared when it is asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir = spark, sf_dir
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return TABLES[name](self._spark, self._dir)
+
+    def __iter__(self):
+        return iter(TABLES)
+
+    def __len__(self) -> int:
+        return len(TABLES)
+
+
+def load(spark: SparkSession, sf_dir: str) -> StarTables:
+    return StarTables(spark, sf_dir)
