@@ -128,9 +128,9 @@ def untrimmed(df: DataFrame, column: str = "vendorname") -> DataFrame:
 
 def visible_spaces(df: DataFrame, column: str = "vendorname") -> DataFrame:
     text = F.col(column)
-    return (
-        df.where(is_padded(text)).select(column, show_spaces(text).alias("visible_whitespace")).orderBy(column)
-    )
+    # The further sort columns let a range sort split the rows of a frequent text.
+    order = [column, *[c for c in df.columns if c != column]]
+    return df.where(is_padded(text)).orderBy(*order).select(column, show_spaces(text).alias("visible_whitespace"))
 
 
 def still_padded(df: DataFrame, column: str = "vendorname") -> DataFrame:

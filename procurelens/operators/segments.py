@@ -112,14 +112,17 @@ def with_order_size(rows: DataFrame, column: str = "total_purchase_quantity") ->
             "most": (column, 1.0),
         },
     )
+    distinct = "least < first_tertile AND first_tertile < second_tertile AND second_tertile < most"
+    checked = edges.selectExpr(
+        f"CASE WHEN {distinct} THEN first_tertile ELSE raise_error('order-size edges are not distinct') END AS small_to",
+        "second_tertile AS medium_to",
+    )
+    small, medium, large = ORDER_SIZES
     size = F.expr(
-        f"""CASE WHEN least >= first_tertile OR first_tertile >= second_tertile OR second_tertile >= most
-                 THEN raise_error('order-size edges are not distinct')
-                 WHEN {column} <= first_tertile THEN '{ORDER_SIZES[0]}'
-                 WHEN {column} <= second_tertile THEN '{ORDER_SIZES[1]}'
-                 WHEN {column} <= most THEN '{ORDER_SIZES[2]}' END"""
+        f"CASE WHEN {column} <= small_to THEN '{small}' WHEN {column} <= medium_to THEN '{medium}'"
+        f" WHEN {column} IS NOT NULL THEN '{large}' END"
     )
-    return with_thresholds(rows, edges).withColumn("order_size", size).select(*rows.columns, "order_size")
+    return with_thresholds(rows, checked).withColumn("order_size", size).select(*rows.columns, "order_size")
 
 
 def with_unit_price(rows: DataFrame) -> DataFrame:

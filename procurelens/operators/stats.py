@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from procurelens.functions.numbers import numeric_columns
 from procurelens.functions.student_t import t_quantile, t_tail
-from procurelens.operators.quantiles import exact_quantiles, long_form, quantile_row, with_thresholds
+from procurelens.operators.quantiles import (
+    long_form,
+    named_series,
+    quantile_row,
+    series_quantiles,
+    with_thresholds,
+)
 
 # Fixed values of the reports.
 BINS = 30
@@ -37,10 +43,11 @@ def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
         )
     )
     # Both sides have one row per column.
-    quartiles = F.broadcast(exact_quantiles(df, columns, QUARTILES))
-    return moments.join(quartiles, "series", "left").select(
+    quartiles = F.broadcast(series_quantiles(df, columns, QUARTILES))
+    table = moments.join(quartiles, "series", "left").select(
         "series", "count", "mean", "std", "min", "q1", "median", "q3", "max"
     )
+    return named_series(table, columns)
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -110,9 +117,10 @@ def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = BINS)
         f"CASE WHEN bin = {bins - 1} THEN high ELSE low + (bin + 1) * ({step}) END AS bin_high",
     )
     # Both sides have at most ``bins`` rows per column.
-    return edges.join(F.broadcast(placed), ["series", "bin"], "left").selectExpr(
+    table = edges.join(F.broadcast(placed), ["series", "bin"], "left").selectExpr(
         "series", "bin", "bin_low", "bin_high", "coalesce(rows, 0) AS rows"
     )
+    return named_series(table, columns)
 
 
 def density(df: DataFrame, columns: list[str] | None = None, grid: int = GRID) -> DataFrame:
@@ -147,11 +155,12 @@ def density(df: DataFrame, columns: list[str] | None = None, grid: int = GRID) -
         .agg(*kernels)
     )
     listed = ", ".join(f"k{i}" for i in range(grid))
-    return sums.selectExpr(
+    table = sums.selectExpr(
         "series", "low", "step", "bandwidth", "n", f"posexplode(array({listed})) AS (point, k)"
     ).selectExpr(
         "series", "point", "low + point * step AS x", "k / (n * bandwidth * sqrt(2 * pi())) AS density"
     )
+    return named_series(table, columns)
 
 
 def box_stats(
@@ -160,12 +169,12 @@ def box_stats(
     """Quartiles, whiskers at the furthest point within 1.5 quartile ranges, and outliers."""
     columns = columns or numeric_columns(df)
     keys = [by, "series"] if by else ["series"]
-    boxes = exact_quantiles(df, columns, QUARTILES, by, classes).selectExpr(
+    boxes = series_quantiles(df, columns, QUARTILES, by, classes).selectExpr(
         *keys, *QUARTILES, f"q1 - {WHISKER}D * (q3 - q1) AS fence_low", f"q3 + {WHISKER}D * (q3 - q1) AS fence_high"
     )
     values = long_form(df, columns, [by] if by else None)
     # One box per series and class.
-    return (
+    table = (
         values.join(F.broadcast(boxes), keys)
         .groupBy(*keys, *QUARTILES)
         .agg(
@@ -177,6 +186,7 @@ def box_stats(
             *keys, *QUARTILES, "least(low, q1) AS whisker_low", "greatest(high, q3) AS whisker_high", "outliers"
         )
     )
+    return named_series(table, columns)
 
 
 def mean_interval(df: DataFrame, value: str, by: list[str], confidence: float = CONFIDENCE) -> DataFrame:
