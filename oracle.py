@@ -512,3 +512,4 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'Sales.CSV', 'sales', count(*), 'loaded' FROM sales"""),
 }
 ORACLE_SQL["csv_ingest_roundtrip"] = ORACLE_SQL["vendor_summary"]
+ORACLE_SQL["csv_chunked_sales"] = ORACLE_SQL["sales_summary"]

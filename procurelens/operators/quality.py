@@ -97,14 +97,14 @@ def require_key(df: DataFrame, keys: list[str]) -> None:
 
 def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """NULLs of every column in one row, from one scan."""
-    return df.agg(*[F.expr(f"count(*) - count({c}) AS {c}_nulls") for c in columns or df.columns])
+    return df.agg(*[F.expr(f"count(*) - count(`{c}`) AS `{c}_nulls`") for c in columns or df.columns])
 
 
 def column_profile(df: DataFrame) -> DataFrame:
     """One row per column: position, name, type and NULLs."""
     counts = null_profile(df)
     fields = [
-        f"{i}, '{f.name}', '{f.dataType.simpleString()}', {f.name}_nulls"
+        f"{i}, '{f.name}', '{f.dataType.simpleString()}', `{f.name}_nulls`"
         for i, f in enumerate(df.schema.fields, start=1)
     ]
     return counts.selectExpr(

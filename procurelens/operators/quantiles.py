@@ -28,7 +28,7 @@ def long_form(
 
     ``series`` is the position in ``columns``: numbers join and group faster than names.
     """
-    pairs = ", ".join(f"{i}, nullif(cast({c} AS double), double('NaN'))" for i, c in enumerate(columns))
+    pairs = ", ".join(f"{i}, nullif(cast(`{c}` AS double), double('NaN'))" for i, c in enumerate(columns))
     rows = df.selectExpr(*(keep or []), f"stack({len(columns)}, {pairs}) AS (series, value)")
     return rows.where("value IS NOT NULL") if drop_missing else rows
 

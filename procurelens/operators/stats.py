@@ -57,9 +57,9 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     generates far less code than an aggregate per pair. NULL where a column is constant.
     """
     columns = columns or numeric_columns(df)
-    doubles = df.selectExpr(*[f"nullif(cast({c} AS double), double('NaN')) AS {c}" for c in columns])
+    doubles = df.selectExpr(*[f"nullif(cast(`{c}` AS double), double('NaN')) AS `{c}`" for c in columns])
     pairs = [(a, a) for a in columns] + list(combinations(columns, 2))
-    stacked = ", ".join(f"{i}, {a}, {b}" for i, (a, b) in enumerate(pairs))
+    stacked = ", ".join(f"{i}, `{a}`, `{b}`" for i, (a, b) in enumerate(pairs))
     moments = (
         doubles.selectExpr(f"stack({len(pairs)}, {stacked}) AS (pair, x, y)")
         .where("x IS NOT NULL AND y IS NOT NULL")

@@ -22,6 +22,9 @@ MISSING = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
+# Fixed values of the format: header row, quotes doubled inside quotes, no broken records.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "mode": "FAILFAST", "enforceSchema": False}
+
 AUDIT_SCHEMA = "file string, table string, rows bigint, status string, error string, seconds double"
 
 
@@ -55,6 +58,11 @@ def list_csv(spark: SparkSession, folder: str) -> list[str]:
     return [row.name for row in names if row.name]
 
 
+def present(name: str) -> Column:
+    """The text of a field, NULL where it stands for a missing value."""
+    return F.when(~F.col(name).isin(MISSING), F.col(name))
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
     """A comma CSV with a header row, its column names cleaned.
 
@@ -62,17 +70,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     schema does not know keep an inferred type. ``multi_line`` allows line breaks inside
     quotes, but then a file cannot be split over tasks.
     """
-    text = (
-        spark.read.option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("mode", "FAILFAST")
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+    text = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).csv(path)
     text = text.toDF(*clean_names(text.columns))
-    text = text.select(*[F.when(~F.col(c).isin(MISSING), F.col(c)).alias(c) for c in text.columns])
+    text = text.select(*[present(c).alias(c) for c in text.columns])
     known = {f.name: f.dataType for f in schema.fields} if schema else {}
     types = infer_types(text.select(*[c for c in text.columns if c not in known]))
     return text.select(

@@ -6,7 +6,9 @@ import pytest
 from helpers import rows
 
 from procurelens.session import work_dir
+from procurelens.schemas import VENDOR_INVOICE
 from procurelens.sources import csv_folder, naming, tables
+from procurelens.streaming.csv_chunks import load_in_chunks
 
 
 def write(folder, **files):
@@ -86,3 +88,25 @@ def test_table_sinks_replace(spark):
     assert tables.read_table(spark, "procurelens_sink_test").count() == 3
     assert tables.read_table(spark, "procurelens_sink_test", "id > 0").count() == 2
     spark.sql("DROP TABLE procurelens_sink_test")
+
+
+def test_chunked_load_replaces_then_adds(spark, tmp_path):
+    source, target = tmp_path / "parts", str(tmp_path / "table")
+    head = "vendornumber,ponumber,freight\n"
+    write(source, **{f"p{i}.csv": f"{head}{i},7,1.50\n{i},,NA\n" for i in range(5)})
+    table = load_in_chunks(spark, str(source), target, VENDOR_INVOICE, files_per_chunk=2)
+    assert table.select("chunk").distinct().count() == 3
+    assert table.count() == 10 and table.where("freight IS NULL AND ponumber IS NULL").count() == 5
+    again = tmp_path / "again"
+    write(again, **{"one.csv": f"{head}9,9,9.00\n"})
+    assert [r.vendornumber for r in load_in_chunks(spark, str(again), target, VENDOR_INVOICE).collect()] == [9]
+
+
+def test_chunked_load_goes_on_from_its_checkpoint(spark, tmp_path):
+    source, target, checkpoint = tmp_path / "parts", str(tmp_path / "table"), str(tmp_path / "state")
+    head = "vendornumber,ponumber,freight\n"
+    write(source, **{"a.csv": f"{head}1,1,1.00\n"})
+    load_in_chunks(spark, str(source), target, VENDOR_INVOICE, checkpoint=checkpoint)
+    write(source, **{"b.csv": f"{head}2,2,2.00\n"})
+    table = load_in_chunks(spark, str(source), target, VENDOR_INVOICE, checkpoint=checkpoint)
+    assert sorted(r.vendornumber for r in table.collect()) == [1, 2]
