@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FAN = 16
+FAN = 4
 
 
 def spread_join(
@@ -15,8 +15,10 @@ def spread_join(
 
     One key may own a large part of the facts, so it is split into ``fan`` parts by the hash
     of ``spread_by``, and each lookup row is repeated once per part. The parts depend only on
-    the row, so a recomputed task gives the same rows. Spark still broadcasts the lookup side
-    when its measured size allows it.
+    the row, so a recomputed task gives the same rows. The extra key also puts a shuffle of
+    its own on both sides, which lets adaptive execution split a hot part further; a lookup
+    grouped by ``on`` would reuse its grouping shuffle, and then cannot be split. The fan is
+    small because Spark still broadcasts the lookup when the repeated rows are small enough.
     """
     part = "_part"
     spread = facts.withColumn(part, F.pmod(F.xxhash64(*spread_by), F.lit(fan)).cast("int"))

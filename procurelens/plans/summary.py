@@ -57,6 +57,9 @@ def vendor_summary(tables: Mapping[str, DataFrame], ordered: bool = True) -> Dat
 
     Pairs without sales and vendors without invoices stay, with NULLs. ``freight_cost`` is a
     figure of the vendor and repeats on each of its rows: do not add it up over rows.
+
+    No join is hinted: Spark broadcasts by measured size. The freight join is on the vendor
+    alone, and one vendor may own a third of the pairs, hence the spread.
     """
     bought = purchase_totals(tables["purchases"], tables["purchase_prices"])
     sold = sales_totals(tables["sales"]).withColumnRenamed("vendorno", "vendornumber")
