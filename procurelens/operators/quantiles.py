@@ -8,8 +8,9 @@ Two passes over the input:
 
 Both passes combine on the map side, so a value that fills a third of the table is one row by
 then. What one task sorts at the end is the distinct values between the bounds: at most
-``4 * SLACK / ACCURACY`` of the rows per quantile (one in 1,250). The bounds that are
-broadcast are one row per series, whatever the size of the table.
+``(2 * SLACK + 2) / ACCURACY`` of the rows per quantile (one in 1,000), for a sketch value is
+off by at most ``1 / ACCURACY`` of the ranks. The bounds that are broadcast are one row per
+series, whatever the size of the table.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
-SLACK = 2
+SLACK = 4
 
 
 def long_form(

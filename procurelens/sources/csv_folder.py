@@ -66,8 +66,8 @@ def present(name: str) -> Column:
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
     """A comma CSV with a header row, its column names cleaned.
 
-    With a schema, columns are matched by their cleaned names and cast strictly; columns the
-    schema does not know keep an inferred type. ``multi_line`` allows line breaks inside
+    With a schema, columns are matched by their cleaned names and cast strictly, without loss
+    of decimals; columns the schema does not know keep an inferred type. ``multi_line`` allows line breaks inside
     quotes, but then a file cannot be split over tasks.
     """
     text = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).csv(path)
@@ -76,10 +76,19 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     known = {f.name: f.dataType for f in schema.fields} if schema else {}
     types = infer_types(text.select(*[c for c in text.columns if c not in known]))
     return text.select(
-        *[F.col(c).cast(known[c]).alias(c) if c in known else _typed(c, types[c]) for c in text.columns]
+        *[exact_cast(c, known[c]).alias(c) if c in known else _typed(c, types[c]) for c in text.columns]
     )
 
 
+def exact_cast(name: str, kind: T.DataType) -> Column:
+    """A strict cast; a decimal that would lose digits is an error as well."""
+    text = F.col(name)
+    if not isinstance(kind, T.DecimalType):
+        return text.cast(kind)
+    lossy = F.concat(F.lit(f"{name} does not fit {kind.simpleString()}: "), text)
+    return F.when(text.cast("decimal(38,12)") != text.cast(kind), F.raise_error(lossy)).otherwise(text.cast(kind))
+
+
 def _typed(name: str, kind: str) -> Column:
     column = F.col(name)
     if kind == "double":

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from procurelens.session import work_dir
-from procurelens.sources.csv_folder import CSV_OPTIONS, present
+from procurelens.sources.csv_folder import CSV_OPTIONS, exact_cast, present
 
 CHUNK = "chunk"
 
@@ -31,8 +31,9 @@ def load_in_chunks(
     of an interrupted load to go on with it; a new one starts the table over.
     """
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    stream = spark.readStream.schema(texts).options(**CSV_OPTIONS).option("maxFilesPerTrigger", files_per_chunk).csv(source)
-    typed = stream.select(*[present(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    reader = spark.readStream.schema(texts).options(**CSV_OPTIONS).option("maxFilesPerTrigger", files_per_chunk)
+    given = reader.csv(source).select(*[present(f.name).alias(f.name) for f in schema.fields])
+    typed = given.select(*[exact_cast(f.name, f.dataType).alias(f.name) for f in schema.fields])
 
     def write(chunk: DataFrame, number: int) -> None:
         (

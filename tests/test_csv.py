@@ -67,6 +67,15 @@ def test_folder_load(spark, tmp_path):
     assert spark.read.parquet(f"{target}/_load_audit").count() == len(audit)
 
 
+def test_money_is_never_cut(spark, tmp_path):
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    write(source, **{"vendor_invoice.csv": "vendornumber,ponumber,freight\n1,1,1.005\n"})
+    (failed,) = csv_folder.load_folder(spark, str(source), target).collect()
+    assert failed.status == "failed" and "does not fit" in failed.error
+    (loaded,) = csv_folder.load_folder(spark, str(source), target, schemas={}).collect()
+    assert loaded.status == "loaded" and tables.read_path(spark, f"{target}/vendor_invoice").first().freight == 1.005
+
+
 def test_reload_replaces(spark, tmp_path):
     source, target = tmp_path / "in", str(tmp_path / "out")
     write(source, **{"t.csv": "a\n1\n2\n3\n"})
