@@ -1,8 +1,9 @@
 """Packing token ids into sequences of fixed length: best-fit decreasing over a segment tree.
 
-A task turns texts into ids. It encodes every distinct piece of text between white space once
-and reuses the ids, which gives the ids of the whole text because the tokenizer's pattern never
-crosses white space. Documents longer than a sequence are first cut into full windows, which
+A task turns texts into ids. Texts of Latin letters and common punctuation go word by word: the
+tokenizer's pattern never crosses white space, so the ids of a text are those of its words, and
+the ids of the words that a worker met first are remembered up to a bound. All other texts go
+through the tokenizer whole. Documents longer than a sequence are first cut into full windows, which
 need no packing; what is left of them, and all shorter documents, are packed by decreasing
 length, each into the open sequence with the least room that still suffices. A segment tree
 over the remaining room (0 to the length of a sequence) finds it in a few steps.
@@ -19,10 +20,12 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,55 +35,82 @@ SEQUENCE = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 SHARD_ROWS = 20_000
-#: Encoded words that a task remembers.
-CACHE_WORDS = 400_000
-_SPACE = re.compile(r"[ \n\t\r]+")
+#: Words between white space, and words of the tokenizer's pattern, whose ids a worker remembers.
+CACHE_WORDS, CACHE_UNITS = 300_000, 500_000
+#: Characters that lower-case and normalise alike in every Unicode version, without \x1c to \x1f.
+_PLAIN = re.compile("[\x00-\x1b\x20-\u024f\u2010-\u2027\u2030-\u205e\u20ac]*")
+_UNITS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _PIECES = "doc_id long, nth long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level BPE writes for bytes: printable ones themselves, others from U+0100 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class WordEncoder:
-    """Ids of whole texts, remembering the ids of words."""
+    """Ids of texts as unsigned little-endian 32-bit integers, remembering the ids of words."""
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode_batch
-        self.known: dict[str, bytes] = {}
-        self.cache_words = cache_words
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as unsigned little-endian 32-bit integers."""
-        split = [_SPACE.split(t) for t in texts]
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for word, encoded in zip(part, self.encode(part, add_special_tokens=False), strict=True):
-                known[word] = np.array(encoded.ids, dtype="<u4").tobytes()
-        found = [b"".join(map(known.__getitem__, words)) for words in split]
-        if len(known) > self.cache_words:
-            known.clear()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.words: dict[str, bytes] = {}
+        self.units: dict[str, bytes] = {}
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def unit(self, unit: str) -> bytes:
+        found = self.units.get(unit)
+        if found is None:
+            tokens = self.model.tokenize(unit.encode().decode("latin-1").translate(self.letters))
+            found = array("I", [t.id for t in tokens]).tobytes()
+            if len(self.units) < CACHE_UNITS:
+                self.units[unit] = found
+        return found
+
+    def word(self, word: str) -> bytes:
+        found = b"".join(map(self.unit, _UNITS.findall(word)))
+        if len(self.words) < CACHE_WORDS:
+            self.words[word] = found
         return found
 
+    def ids(self, text: str) -> bytes:
+        if "<|" in text or not _PLAIN.fullmatch(text):
+            return self.whole(text)
+        known = self.words.get
+        return b"".join([known(w) or self.word(w) for w in text.lower().split()])
+
+
+#: The encoder of a worker process, which Spark uses again for its next tasks.
+_encoders: dict[str, WordEncoder] = {}
+
+
+def _encoder(path: str) -> WordEncoder:
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
+
 
 def _token_pieces(tokenizer: str, sequence: int, end_id: int):
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import public_tokenizers
 
-        encoder = WordEncoder(public_tokenizers.path(tokenizer))
+        encoder = _encoder(public_tokenizers.path(tokenizer))
         end, nth = np.array([end_id], dtype="<u4").tobytes(), 0
         for batch in batches:
             out = []
-            for at in range(0, len(batch), 200):
-                part = batch.iloc[at : at + 200]
-                texts = ["" if t is None else t for t in part["text"]]
-                for doc_id, ids in zip(part["doc_id"], encoder.ids(texts), strict=True):
-                    ids += end
-                    tokens = len(ids) // 4
-                    for start in range(0, tokens, sequence):
-                        piece = ids[4 * start : 4 * (start + sequence)]
-                        out.append((doc_id, nth, start, len(piece) // 4, zlib.crc32(piece), tokens))
-                        nth += 1
+            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+                ids = encoder.ids(text or "") + end
+                tokens = len(ids) // 4
+                for start in range(0, tokens, sequence):
+                    piece = ids[4 * start : 4 * (start + sequence)]
+                    out.append((doc_id, nth, start, len(piece) // 4, zlib.crc32(piece), tokens))
+                    nth += 1
             frame = pd.DataFrame(out, columns=["doc_id", "nth", "start", "length", "ids_crc32", "doc_tokens"])
             yield frame.astype({"doc_id": "Int64"})
 
