@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from procurelens.llm import exact_dedup, mixing, packing, simhash
+from procurelens.llm import exact_dedup, fingerprints, mixing, packing, quality, simhash, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_source_mixing": mixing.op2_source_mixing,
     "op3_simhash": simhash.op3_simhash,
+    "op5_fingerprints": fingerprints.op5_fingerprints,
+    "op6_toxicity": toxicity.op6_toxicity,
+    "op8_quality": quality.op8_quality,
     "op10_packing": packing.op10_packing,
 }
 
