@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from procurelens.llm import exact_dedup, fingerprints, mixing, packing, quality, simhash, toxicity
+from procurelens.llm import exact_dedup, fingerprints, mixing, packing, quality, sentence_dedup, simhash, toxicity, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -10,11 +10,15 @@ QUERIES = {
     "op3_simhash": simhash.op3_simhash,
     "op5_fingerprints": fingerprints.op5_fingerprints,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_warc": warc.op7_warc,
     "op8_quality": quality.op8_quality,
+    "op9_sentence_spans": sentence_dedup.op9_sentence_spans,
     "op10_packing": packing.op10_packing,
 }
 
 ORACLE_SQL = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
     "op2_source_mixing": mixing.OP2_SQL,
+    "op7_warc": warc.OP7_SQL,
+    "op9_sentence_spans": sentence_dedup.OP9_SQL,
 }
