@@ -18,7 +18,6 @@ table gives an empty result; extra columns are kept by ``clean_documents``.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -50,44 +49,101 @@ def words_of(text: str | None) -> Counter:
     return Counter(_WORD.findall((text or "").lower()))
 
 
-def subwords(word: str) -> np.ndarray:
-    """Table rows of a word: the word itself and its n-grams with marked ends."""
-    marked = f"<{word}>"
-    grams = {marked} | {marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1)}
-    return np.array([zlib.crc32(g.encode("utf-8", "surrogatepass")) & (BUCKETS - 1) for g in sorted(grams)], dtype="int32")
+def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Table rows of many words at once, and the word that each row belongs to, in word order.
+
+    A word has one row for itself and one per n-gram of its characters with marked ends.
+    """
+    if not words:
+        return np.empty(0, "int64"), np.empty(0, "int64")
+    marked = "<" + "><".join(words) + ">"
+    codes = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), "<u4").astype("uint64")
+    lengths = np.fromiter(map(len, words), "int64", len(words)) + 2
+    starts = np.cumsum(lengths) - lengths
+    word = np.repeat(np.arange(len(words)), lengths)
+    place = (np.arange(len(codes)) - starts[word]).astype("uint64")
+    rows, owners = [_mixed(np.add.reduceat(_mixed(codes + (place << np.uint64(32))), starts))], [np.arange(len(words))]
+    for n in GRAMS:
+        at = np.flatnonzero(np.arange(len(codes)) + n <= (starts + lengths)[word])
+        gram = np.full(len(at), n, "uint64")
+        for k in range(n):
+            gram = gram * np.uint64(0x9E3779B97F4A7C15) + codes[at + k]
+        rows.append(_mixed(gram))
+        owners.append(word[at])
+    rows, owners = np.concatenate(rows), np.concatenate(owners)
+    order = np.argsort(owners, kind="stable")
+    return (rows[order] & np.uint64(BUCKETS - 1)).astype("int64"), owners[order]
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
 @dataclass
 class SubwordModel:
-    """Trained weights folded to a score per n-gram and a bias."""
+    """Trained weights folded to a score per table row, and a bias."""
 
-    gram_scores: np.ndarray
+    row_scores: np.ndarray
     bias: float
 
-    def score(self, bag: Counter, known: dict[str, float]) -> float:
-        total = sum(bag.values())
-        if not total:
-            return _sigmoid(self.bias)
-        for word in bag:
-            if word not in known:
-                known[word] = float(self.gram_scores[subwords(word)].mean())
-        return _sigmoid(self.bias + sum(known[w] * n for w, n in bag.items()) / total)
+    def word_scores(self, words: list[str]) -> np.ndarray:
+        rows, word = subwords(words)
+        return np.bincount(word, self.row_scores[rows], len(words)) / np.maximum(np.bincount(word, minlength=len(words)), 1)
+
+    def score(self, texts: list[str | None], known: dict[str, tuple[float, int]]) -> list[float]:
+        """``known`` keeps the summed score and the number of the words in a stretch between blanks."""
+        bags = [Counter((t or "").lower().split()) for t in texts]
+        new = list({x for bag in bags for x in bag if x not in known})
+        parts = [_WORD.findall(x) for x in new]
+        counts = np.fromiter(map(len, parts), "int64", len(parts))
+        sums = np.bincount(np.repeat(np.arange(len(new)), counts), self.word_scores([w for p in parts for w in p]), len(new))
+        here = dict(zip(new, zip(sums.tolist(), counts.tolist(), strict=True), strict=True))
+        if len(known) < CACHE_WORDS:
+            known.update(here)
+        scores = []
+        for bag in bags:
+            found = [(n, *(known.get(x) or here[x])) for x, n in bag.items()]
+            words = sum(n * k for n, _, k in found)
+            scores.append(_sigmoid(self.bias + sum(n * s for n, s, _ in found) / max(words, 1)))
+        return scores
+
+    def score_batch(self, texts: list[str | None], known: dict[str, tuple[float, int]], step: int = 500) -> np.ndarray:
+        """Scores in small steps, so that the words of one step fit memory."""
+        return np.array([x for at in range(0, len(texts), step) for x in self.score(texts[at : at + step], known)], dtype="float64")
 
 
 def _sigmoid(x: float) -> float:
     return float(1 / (1 + np.exp(-np.clip(x, -60, 60))))
 
 
-def _bag_rows(bag: Counter) -> tuple[np.ndarray, np.ndarray]:
-    """Table rows of a document, and the share that each has in its average."""
-    total = sum(bag.values())
-    if not total:
-        return np.empty(0, "int32"), np.empty(0, "float32")
-    rows = [subwords(w) for w in bag]
-    shares = [np.full(len(r), n / total / len(r), "float32") for r, n in zip(rows, bag.values(), strict=True)]
-    rows, shares = np.concatenate(rows), np.concatenate(shares)
-    own, back = np.unique(rows, return_inverse=True)
-    return own, np.bincount(back, shares).astype("float32")
+@dataclass
+class _Vocabulary:
+    """Table rows of the words of the training sample."""
+
+    number: dict[str, int]
+    rows: np.ndarray
+    starts: np.ndarray
+    counts: np.ndarray
+
+    def of(self, bag: Counter) -> tuple[np.ndarray, np.ndarray]:
+        """Table rows of a document with words, and the share that each has in its average."""
+        ids = np.fromiter(map(self.number.__getitem__, bag), "int64", len(bag))
+        counts = self.counts[ids]
+        ends = np.cumsum(counts)
+        within = np.arange(ends[-1]) - np.repeat(ends - counts, counts)
+        rows = self.rows[np.repeat(self.starts[ids], counts) + within]
+        share = np.fromiter(bag.values(), "float64", len(bag)) / sum(bag.values()) / counts
+        own, back = np.unique(rows, return_inverse=True)
+        return own.astype("int32"), np.bincount(back, np.repeat(share, counts)).astype("float32")
+
+
+def _vocabulary(bags: list[Counter]) -> _Vocabulary:
+    words = sorted({w for bag in bags for w in bag})
+    rows, word = subwords(words)
+    counts = np.bincount(word, minlength=len(words))
+    return _Vocabulary({w: i for i, w in enumerate(words)}, rows, np.cumsum(counts) - counts, counts)
 
 
 @dataclass
@@ -104,8 +160,8 @@ class _Batch:
     weights: np.ndarray
 
 
-def _batch(bags: list[Counter], labels: np.ndarray, weights: np.ndarray) -> _Batch:
-    data = [_bag_rows(b) for b in bags]
+def _batch(bags: list[Counter], labels: np.ndarray, weights: np.ndarray, words: _Vocabulary) -> _Batch:
+    data = [words.of(b) for b in bags]
     counts = np.array([len(d[0]) for d in data])
     rows = np.concatenate([d[0] for d in data])
     by_row = np.argsort(rows, kind="stable").astype("int32")
@@ -126,10 +182,12 @@ def train(bags: list[Counter], labels: np.ndarray, weights: np.ndarray, epochs:
     params = [vectors, layer, bias]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     order = [d for d in rng.permutation(len(bags)) if bags[d]]
+    words = _vocabulary(bags)
     batches = [
-        _batch([bags[d] for d in part], labels[part], weights[part])
+        _batch([bags[d] for d in part], labels[part], weights[part], words)
         for part in (order[at : at + BATCH] for at in range(0, len(order), BATCH))
     ]
+    del words
     step = 0
     for _ in range(epochs):
         for b in (batches[i] for i in rng.permutation(len(batches))):
@@ -180,13 +238,9 @@ def fit(
 
 def _scores(model: SubwordModel):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, float] = {}
+        known: dict[str, tuple[float, int]] = {}
         for batch in batches:
-            scores = []
-            for text in batch["text"]:
-                scores.append(model.score(words_of(text), known))
-                if len(known) > CACHE_WORDS:
-                    known.clear()
+            scores = model.score_batch(batch["text"].tolist(), known)
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score": scores})
 
     return run
@@ -206,12 +260,10 @@ def clean_documents(
     at = docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, float] = {}
+        known: dict[str, tuple[float, int]] = {}
         for batch in batches:
-            scores = [model.score(words_of(t), known) for t in batch.column(at).to_pylist()]
-            if len(known) > CACHE_WORDS:
-                known.clear()
-            yield batch.filter(pa.array(np.array(scores, dtype="float64") < threshold))
+            scores = model.score_batch(batch.column(at).to_pylist(), known)
+            yield batch.filter(pa.array(scores < threshold))
 
     return docs.mapInArrow(keep, docs.schema)
 
