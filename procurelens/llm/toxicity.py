@@ -39,6 +39,10 @@ THRESHOLD = 0.7
 BUCKETS, DIM = 1 << 18, 4
 GRAMS = (3, 4)
 EPOCHS, BATCH, RATE = 8, 64, 0.02
+#: Words of no toxicity that every document counts besides its own, so that few words prove little.
+PRIOR_WORDS = 20
+#: Weight decay of the vectors that a batch uses.
+DECAY = 0.02
 #: The mean over thousands of n-grams is small; this brings it to the scale of the layer.
 GAIN = 20.0
 CACHE_WORDS = 300_000
@@ -92,24 +96,27 @@ class SubwordModel:
         rows, word = subwords(words)
         return np.bincount(word, self.row_scores[rows], len(words)) / np.maximum(np.bincount(word, minlength=len(words)), 1)
 
-    def score(self, texts: list[str | None], known: dict[str, tuple[float, int]]) -> list[float]:
-        """``known`` keeps the summed score and the number of the words in a stretch between blanks."""
+    def score(self, texts: list[str | None], known: dict[str, list[tuple[str, float]]]) -> list[float]:
+        """``known`` keeps the words in a stretch between blanks and their scores."""
         bags = [Counter((t or "").lower().split()) for t in texts]
         new = list({x for bag in bags for x in bag if x not in known})
         parts = [_WORD.findall(x) for x in new]
-        counts = np.fromiter(map(len, parts), "int64", len(parts))
-        sums = np.bincount(np.repeat(np.arange(len(new)), counts), self.word_scores([w for p in parts for w in p]), len(new))
-        here = dict(zip(new, zip(sums.tolist(), counts.tolist(), strict=True), strict=True))
+        found = iter(self.word_scores([w for p in parts for w in p]).tolist())
+        here = {x: [(w, next(found)) for w in p] for x, p in zip(new, parts, strict=True)}
         if len(known) < CACHE_WORDS:
             known.update(here)
         scores = []
         for bag in bags:
-            found = [(n, *(known.get(x) or here[x])) for x, n in bag.items()]
-            words = sum(n * k for n, _, k in found)
-            scores.append(_sigmoid(self.bias + sum(n * s for n, s, _ in found) / max(words, 1)))
+            counts: dict[tuple[str, float], int] = {}
+            for stretch, n in bag.items():
+                for word in known[stretch] if stretch in known else here[stretch]:
+                    counts[word] = counts.get(word, 0) + n
+            weights = np.log1p(np.fromiter(counts.values(), "float64", len(counts)))
+            values = np.fromiter((s for _, s in counts), "float64", len(counts))
+            scores.append(_sigmoid(self.bias + float(weights @ values) / (float(weights.sum()) + PRIOR_WORDS)))
         return scores
 
-    def score_batch(self, texts: list[str | None], known: dict[str, tuple[float, int]], step: int = 500) -> np.ndarray:
+    def score_batch(self, texts: list[str | None], known: dict[str, list[tuple[str, float]]], step: int = 500) -> np.ndarray:
         """Scores in small steps, so that the words of one step fit memory."""
         return np.array([x for at in range(0, len(texts), step) for x in self.score(texts[at : at + step], known)], dtype="float64")
 
@@ -134,7 +141,8 @@ class _Vocabulary:
         ends = np.cumsum(counts)
         within = np.arange(ends[-1]) - np.repeat(ends - counts, counts)
         rows = self.rows[np.repeat(self.starts[ids], counts) + within]
-        share = np.fromiter(bag.values(), "float64", len(bag)) / sum(bag.values()) / counts
+        weight = np.log1p(np.fromiter(bag.values(), "float64", len(bag)))
+        share = weight / (weight.sum() + PRIOR_WORDS) / counts
         own, back = np.unique(rows, return_inverse=True)
         return own.astype("int32"), np.bincount(back, np.repeat(share, counts)).astype("float32")
 
@@ -177,7 +185,7 @@ def train(bags: list[Counter], labels: np.ndarray, weights: np.ndarray, epochs:
     Documents without words are left out. Batches are made once and visited in a new order each time.
     """
     rng = np.random.default_rng(seed)
-    vectors = rng.normal(0, 0.1, (BUCKETS, DIM)).astype("float32")
+    vectors = rng.normal(0, 0.01, (BUCKETS, DIM)).astype("float32")
     layer, bias = rng.normal(0, 0.5, (DIM, 2)).astype("float32"), np.zeros(2, "float32")
     params = [vectors, layer, bias]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
@@ -204,7 +212,8 @@ def train(bags: list[Counter], labels: np.ndarray, weights: np.ndarray, epochs:
             for k, where, g in ((0, used, gradient), (1, everything, GAIN * hidden.T @ slope), (2, everything, slope.sum(axis=0))):
                 mean, square = 0.9 * first[k][where] + 0.1 * g, 0.99 * second[k][where] + 0.01 * g * g
                 first[k][where], second[k][where] = mean, square
-                params[k][where] -= rate * mean / (np.sqrt(square) + 1e-7)
+                kept = 1 - rate * DECAY if k == 0 else 1
+                params[k][where] = kept * params[k][where] - rate * mean / (np.sqrt(square) + 1e-7)
     across = layer[:, 1] - layer[:, 0]
     return SubwordModel(GAIN * (vectors @ across), float(bias[1] - bias[0]))
 
@@ -238,7 +247,7 @@ def fit(
 
 def _scores(model: SubwordModel):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, tuple[float, int]] = {}
+        known: dict[str, list[tuple[str, float]]] = {}
         for batch in batches:
             scores = model.score_batch(batch["text"].tolist(), known)
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score": scores})
@@ -260,7 +269,7 @@ def clean_documents(
     at = docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[float, int]] = {}
+        known: dict[str, list[tuple[str, float]]] = {}
         for batch in batches:
             scores = model.score_batch(batch.column(at).to_pylist(), known)
             yield batch.filter(pa.array(scores < threshold))
