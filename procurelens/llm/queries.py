@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from procurelens.llm import exact_dedup, fingerprints, mixing, packing, quality, sentence_dedup, simhash, toxicity, warc
+from procurelens.llm import exact_dedup, fingerprints, mixing, packing, quality, sentence_dedup, simhash, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_source_mixing": mixing.op2_source_mixing,
     "op3_simhash": simhash.op3_simhash,
+    "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
     "op5_fingerprints": fingerprints.op5_fingerprints,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_warc": warc.op7_warc,
