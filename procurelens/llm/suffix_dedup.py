@@ -167,7 +167,8 @@ def repeated_starts(contexts: list[np.ndarray], length: int = LENGTH, stride: in
     """For each context a mask of its window starts: True where the window occurs elsewhere in the batch."""
     if not contexts:
         return []
-    sizes = np.array([len(c) for c in contexts])
+    end = np.zeros(1, "uint8")  # a place past each context, so that every chain of symbols has an end of its own
+    sizes = np.array([len(c) + 1 for c in contexts])
     shards, rows, room = [], [], 0
     for i, size in enumerate(sizes.tolist()):
         rows.append(i)
@@ -178,12 +179,12 @@ def repeated_starts(contexts: list[np.ndarray], length: int = LENGTH, stride: in
     transforms, suffixes, lone = [], [], 0
     begins = np.cumsum(sizes) - sizes
     for rows in shards:
-        data = np.concatenate([contexts[i] for i in rows])
+        data = np.concatenate([part for i in rows for part in (contexts[i], end)])
         own = sizes[rows]
         start = np.repeat(np.cumsum(own) - own, own)
         stop = np.repeat(np.cumsum(own), own)
         at = np.arange(len(data))
-        whole = at + stride <= stop
+        whole = at + stride < stop
         symbols = np.empty(len(data), "uint64")
         symbols[whole] = Rolling(data).of(at[whole], at[whole] + stride)
         # A suffix shorter than a symbol gets one of its own, so nothing matches past an end.
@@ -204,7 +205,7 @@ def repeated_starts(contexts: list[np.ndarray], length: int = LENGTH, stride: in
     again = np.bincount(run)[run] > 1
     mask = np.zeros(int(sizes.sum()), bool)
     mask[suffix[again]] = True
-    return [mask[b : b + s - length + 1] for b, s in zip(begins.tolist(), sizes.tolist(), strict=True)]
+    return [mask[b : b + s - length] for b, s in zip(begins.tolist(), sizes.tolist(), strict=True)]
 
 
 def _contexts(length: int):

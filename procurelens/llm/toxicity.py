@@ -38,7 +38,8 @@ MOST_EACH = 2500
 THRESHOLD = 0.7
 BUCKETS, DIM = 1 << 18, 4
 GRAMS = (3, 4)
-EPOCHS, BATCH, RATE = 8, 64, 0.02
+#: Passes over the sample; small samples get more, up to the number of steps.
+EPOCHS, STEPS, BATCH, RATE = 8, 600, 64, 0.02
 #: Words of no toxicity that every document counts besides its own, so that few words prove little.
 PRIOR_WORDS = 20
 #: Weight decay of the vectors that a batch uses.
@@ -197,7 +198,7 @@ def train(bags: list[Counter], labels: np.ndarray, weights: np.ndarray, epochs:
     ]
     del words
     step = 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-STEPS // max(len(batches), 1)))):
         for b in (batches[i] for i in rng.permutation(len(batches))):
             hidden = np.add.reduceat(vectors[b.rows] * b.shares[:, None], b.doc_starts, axis=0)
             logits = GAIN * hidden @ layer + bias
