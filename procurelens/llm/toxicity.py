@@ -33,7 +33,7 @@ from procurelens.llm.labelled import fold, smallest_hashes, texts_of, training_l
 
 FOLDS, HELD_OUT = 3, 1
 #: Labelled rows that training reads, of each class.
-MOST_EACH = 2500
+MOST_EACH = 2000
 #: Score from which a document counts as toxic.
 THRESHOLD = 0.7
 BUCKETS, DIM = 1 << 18, 4
@@ -42,6 +42,10 @@ GRAMS = (3, 4)
 EPOCHS, STEPS, BATCH, RATE = 8, 600, 64, 0.02
 #: Words of no toxicity that every document counts besides its own, so that few words prove little.
 PRIOR_WORDS = 20
+#: Documents of the sample that must use a table row for it to be trained.
+LEAST_DOCS = 20
+#: Keeps rows of small gradients, which are mostly noise, from moving as far as others.
+EPSILON = 1e-5
 #: Weight decay of the vectors that a batch uses.
 DECAY = 0.02
 #: The mean over thousands of n-grams is small; this brings it to the scale of the layer.
@@ -50,10 +54,6 @@ CACHE_WORDS = 300_000
 _WORD = re.compile(r"[^\W_]+")
 
 
-def words_of(text: str | None) -> Counter:
-    return Counter(_WORD.findall((text or "").lower()))
-
-
 def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Table rows of many words at once, and the word that each row belongs to, in word order.
 
@@ -126,33 +126,50 @@ def _sigmoid(x: float) -> float:
     return float(1 / (1 + np.exp(-np.clip(x, -60, 60))))
 
 
-@dataclass
+#: The distinct words of a document, joined by blanks, and their counts.
+Bag = tuple[str, np.ndarray]
+
+
+def bag_of(text: str | None) -> Bag:
+    words = Counter(_WORD.findall((text or "").lower()))
+    return " ".join(words), np.fromiter(words.values(), "int32", len(words))
+
+
 class _Vocabulary:
     """Table rows of the words of the training sample."""
 
-    number: dict[str, int]
-    rows: np.ndarray
-    starts: np.ndarray
-    counts: np.ndarray
-
-    def of(self, bag: Counter) -> tuple[np.ndarray, np.ndarray]:
+    def __init__(self, bags: list[Bag]):
+        self.number: dict[str, int] = {}
+        for words, _ in bags:
+            for word in words.split():
+                self.number.setdefault(word, len(self.number))
+        words, rows, counts = list(self.number), [], []
+        for at in range(0, len(words), 20_000):
+            part = words[at : at + 20_000]
+            found, word = subwords(part)
+            rows.append(found.astype("int32"))
+            counts.append(np.bincount(word, minlength=len(part)))
+        self.rows, self.counts = np.concatenate(rows), np.concatenate(counts)
+        self.starts = np.cumsum(self.counts) - self.counts
+
+    def of(self, bag: Bag) -> tuple[np.ndarray, np.ndarray]:
         """Table rows of a document with words, and the share that each has in its average."""
-        ids = np.fromiter(map(self.number.__getitem__, bag), "int64", len(bag))
+        ids = np.fromiter(map(self.number.__getitem__, bag[0].split()), "int64", len(bag[1]))
         counts = self.counts[ids]
         ends = np.cumsum(counts)
         within = np.arange(ends[-1]) - np.repeat(ends - counts, counts)
         rows = self.rows[np.repeat(self.starts[ids], counts) + within]
-        weight = np.log1p(np.fromiter(bag.values(), "float64", len(bag)))
+        weight = np.log1p(bag[1])
         share = weight / (weight.sum() + PRIOR_WORDS) / counts
         own, back = np.unique(rows, return_inverse=True)
-        return own.astype("int32"), np.bincount(back, np.repeat(share, counts)).astype("float32")
+        return own, np.bincount(back, np.repeat(share, counts)).astype("float32")
 
-
-def _vocabulary(bags: list[Counter]) -> _Vocabulary:
-    words = sorted({w for bag in bags for w in bag})
-    rows, word = subwords(words)
-    counts = np.bincount(word, minlength=len(words))
-    return _Vocabulary({w: i for i, w in enumerate(words)}, rows, np.cumsum(counts) - counts, counts)
+    def common_rows(self, bags: list[Bag], least: int) -> np.ndarray:
+        """True for the table rows that ``least`` documents use."""
+        used = np.zeros(BUCKETS, "int32")
+        for bag in bags:
+            used[self.of(bag)[0]] += 1
+        return used >= least
 
 
 @dataclass
@@ -169,33 +186,40 @@ class _Batch:
     weights: np.ndarray
 
 
-def _batch(bags: list[Counter], labels: np.ndarray, weights: np.ndarray, words: _Vocabulary) -> _Batch:
+def _batch(bags: list[Bag], labels: np.ndarray, weights: np.ndarray, words: _Vocabulary, common: np.ndarray) -> _Batch:
     data = [words.of(b) for b in bags]
+    data = [(rows[common[rows]], shares[common[rows]]) for rows, shares in data]
+    full = [i for i, (rows, _) in enumerate(data) if len(rows)]
+    data, labels, weights = [data[i] for i in full], labels[full], weights[full]
     counts = np.array([len(d[0]) for d in data])
-    rows = np.concatenate([d[0] for d in data])
+    rows = np.concatenate([np.empty(0, "int32"), *[d[0] for d in data]])
     by_row = np.argsort(rows, kind="stable").astype("int32")
     row_starts = np.flatnonzero(np.diff(rows[by_row], prepend=-1))
-    doc = np.repeat(np.arange(len(bags), dtype="uint16"), counts)
-    shares = np.concatenate([d[1] for d in data])
+    doc = np.repeat(np.arange(len(data), dtype="uint16"), counts)
+    shares = np.concatenate([np.empty(0, "float32"), *[d[1] for d in data]])
     return _Batch(rows, shares, doc, np.cumsum(counts) - counts, by_row, row_starts, labels, weights)
 
 
-def train(bags: list[Counter], labels: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> SubwordModel:
+def train(bags: list[Bag], labels: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> SubwordModel:
     """Adam on vectors and softmax layer together; ``weights`` are per document.
 
-    Documents without words are left out. Batches are made once and visited in a new order each time.
+    Table rows that fewer than ``LEAST_DOCS`` documents use keep the zero vector, and documents
+    without others are left out. Batches are made once and visited in a new order each time.
     """
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.01, (BUCKETS, DIM)).astype("float32")
     layer, bias = rng.normal(0, 0.5, (DIM, 2)).astype("float32"), np.zeros(2, "float32")
     params = [vectors, layer, bias]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    order = [d for d in rng.permutation(len(bags)) if bags[d]]
-    words = _vocabulary(bags)
+    order = [d for d in rng.permutation(len(bags)) if len(bags[d][1])]
+    words = _Vocabulary(bags)
+    common = words.common_rows([bags[d] for d in order], LEAST_DOCS)
+    vectors[~common] = 0
     batches = [
-        _batch([bags[d] for d in part], labels[part], weights[part], words)
+        _batch([bags[d] for d in part], labels[part], weights[part], words, common)
         for part in (order[at : at + BATCH] for at in range(0, len(order), BATCH))
     ]
+    batches = [b for b in batches if len(b.rows)]
     del words
     step = 0
     for _ in range(max(epochs, -(-STEPS // max(len(batches), 1)))):
@@ -214,15 +238,15 @@ def train(bags: list[Counter], labels: np.ndarray, weights: np.ndarray, epochs:
                 mean, square = 0.9 * first[k][where] + 0.1 * g, 0.99 * second[k][where] + 0.01 * g * g
                 first[k][where], second[k][where] = mean, square
                 kept = 1 - rate * DECAY if k == 0 else 1
-                params[k][where] = kept * params[k][where] - rate * mean / (np.sqrt(square) + 1e-7)
+                params[k][where] = kept * params[k][where] - rate * mean / (np.sqrt(square) + EPSILON)
     across = layer[:, 1] - layer[:, 0]
     return SubwordModel(GAIN * (vectors @ across), float(bias[1] - bias[0]))
 
 
 def _bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        bags = [words_of(t) for t in batch["text"]]
-        yield pd.DataFrame({"label": batch["label"], "words": [list(b) for b in bags], "counts": [list(b.values()) for b in bags]})
+        words, counts = zip(*map(bag_of, batch["text"]), strict=True) if len(batch) else ((), ())
+        yield pd.DataFrame({"label": batch["label"], "words": list(words), "counts": list(counts)})
 
 
 def fit(
@@ -237,8 +261,8 @@ def fit(
         odds = share.get(1, 0) / max(total, 1)
         return SubwordModel(flat, float(np.log(max(odds, 1e-12) / max(1 - odds, 1e-12))))
     sample = smallest_hashes(known.where("label = 0"), most_each).unionByName(smallest_hashes(known.where("label = 1"), most_each))
-    got = texts_of(docs, sample, id_col, text_col).mapInPandas(_bags, "label int, words array<string>, counts array<int>").toPandas()
-    bags = [Counter(dict(zip(w, n, strict=True))) for w, n in zip(got["words"], got["counts"], strict=True)]
+    got = texts_of(docs, sample, id_col, text_col).mapInPandas(_bags, "label int, words string, counts array<int>").toPandas()
+    bags = list(zip(got["words"], map(np.asarray, got["counts"]), strict=True))
     y = got["label"].to_numpy()
     weights = np.ones(len(y), "float32")
     for c in (0, 1):
