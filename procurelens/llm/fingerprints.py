@@ -157,7 +157,8 @@ def with_next_document(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
         borrowed.select(F.col("lent_to").alias("range"), F.lit(True).alias("borrowed"), "doc_id", "text")
     )
     order = ["range", "borrowed", F.col("doc_id").asc_nulls_last(), "text"]
-    return rows.repartition(parts, "range").sortWithinPartitions(*order)
+    # Ranges go round by number, so that every task has as many of them.
+    return rows.repartitionById(parts, F.pmod("range", F.lit(parts)).cast("int")).sortWithinPartitions(*order)
 
 
 def fingerprint_table(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
