@@ -35,7 +35,7 @@ from procurelens.llm.labelled import fold, smallest_hashes, texts_of, training_l
 
 FOLDS, HELD_OUT = 5, 0
 #: Rows that training reads.
-MOST_POSITIVE, MOST_UNLABELLED = 3000, 6000
+MOST_POSITIVE, MOST_UNLABELLED = 2000, 3000
 #: Score from which a document counts as good.
 THRESHOLD = 0.3
 STEPS, BATCH, RATE, DECAY = 3000, 256, 0.02, 1e-4
@@ -99,7 +99,7 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int
     spread = unlabelled.std(axis=0) + 0.01
 
     def ready(rows: np.ndarray) -> np.ndarray:
-        return np.hstack([np.clip((rows - mean) / spread, -5, 5), np.ones((len(rows), 1))])
+        return np.hstack([np.clip((rows - mean) / spread, -5, 5), np.ones((len(rows), 1), "float32")])
 
     positive, unlabelled = ready(positive), ready(unlabelled)
 
@@ -123,7 +123,8 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int
 
 def _feature_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield pd.DataFrame({"positive": batch["positive"], "features": [features(t) for t in batch["text"]]})
+        rows = [features(t).astype("float16").tobytes() for t in batch["text"]]
+        yield pd.DataFrame({"positive": batch["positive"], "features": rows})
 
 
 def fit(
@@ -138,8 +139,8 @@ def fit(
     # The other half of the hash order, so that the two samples meet as little as possible.
     unlabelled = ids.orderBy(F.xxhash64("doc_id").desc(), "doc_id").limit(most_unlabelled).distinct()
     sample = positives.unionByName(unlabelled.select("doc_id", F.lit(False).alias("positive")))
-    got = texts_of(docs, sample, id_col, text_col).mapInPandas(_feature_rows, "positive boolean, features array<float>").toPandas()
-    rows = np.stack(got["features"]) if len(got) else np.zeros((0, WIDTH), "float32")
+    got = texts_of(docs, sample, id_col, text_col).mapInPandas(_feature_rows, "positive boolean, features binary").toPandas()
+    rows = np.frombuffer(b"".join(got["features"]), "float16").reshape(-1, WIDTH).astype("float32")
     positive = got["positive"].to_numpy(dtype=bool)
     if not positive.any() or positive.all():
         return LinearScorer(np.zeros(WIDTH, "float32"), 60.0 if positive.any() else -60.0)
