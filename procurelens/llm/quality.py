@@ -38,7 +38,7 @@ FOLDS, HELD_OUT = 5, 0
 MOST_POSITIVE, MOST_UNLABELLED = 2000, 3000
 #: Score from which a document counts as good.
 THRESHOLD = 0.3
-STEPS, BATCH, RATE, DECAY = 3000, 256, 0.02, 1e-4
+STEPS, BATCH, RATE, DECAY = 3000, 256, 0.05, 1e-5
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
