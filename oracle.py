@@ -116,7 +116,7 @@ totals AS (
 shares AS (SELECT *, bought / (SELECT sum(bought) FROM totals) * 100 AS share FROM totals),
 top AS (
   SELECT vendorname, round(bought, 2) AS bought, round(profit, 2) AS profit, round(sold, 2) AS sold,
-         round(share, 2) AS share
+         round(share, 2) AS share, row_number() OVER (ORDER BY shares.share DESC, vendorname) AS place
   FROM shares ORDER BY shares.share DESC, vendorname LIMIT 10)
 """
 
@@ -166,16 +166,11 @@ def rounded(columns: list[str], digits: int = 6) -> str:
 
 
 def label(value: str) -> str:
-    """Money label of a value rounded to cents; halves round up."""
-    cents = f"CAST(round({value} * 100) AS HUGEINT)"
-
-    def scaled(unit: int, letter: str) -> str:
-        hundredths = f"(({cents} + {unit // 2}) // {unit})"
-        return f"CAST({hundredths} // 100 AS VARCHAR) || '.' || lpad(CAST({hundredths} % 100 AS VARCHAR), 2, '0') || '{letter}'"
-
+    """Money label of a value rounded to cents, from its exact double."""
     return (
-        f"CASE WHEN {value} >= 1000000 THEN {scaled(1_000_000, 'M')}"
-        f" WHEN {value} >= 1000 THEN {scaled(1_000, 'K')} ELSE CAST({value} AS VARCHAR) END"
+        f"CASE WHEN {value} >= 1000000 THEN format('{{:.2f}}M', CAST({value} AS DOUBLE) / 1000000.0)"
+        f" WHEN {value} >= 1000 THEN format('{{:.2f}}K', CAST({value} AS DOUBLE) / 1000.0)"
+        f" ELSE CAST({value} AS VARCHAR) END"
     )
 
 
@@ -432,7 +427,7 @@ ORACLE_SQL: dict[str, str] = {
     "vendor_pareto": with_(SHARES, f"""
         SELECT vendorname, {label('bought')} AS total_purchase_dollars, {label('profit')} AS gross_profit,
                {label('sold')} AS total_sales_dollars, share AS purchase_contribution,
-               round(sum(share) OVER (ORDER BY share DESC, vendorname ROWS UNBOUNDED PRECEDING), 2)
+               round(sum(share) OVER (ORDER BY place ROWS UNBOUNDED PRECEDING), 2)
                  AS cumulative_contribution
         FROM top"""),
     "top10_concentration": with_(SHARES, "SELECT round(sum(share), 2) AS top10_contribution FROM top"),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Every Unicode white-space character plus the four ASCII separators.
 _EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
@@ -41,15 +43,15 @@ def within(text: Column, limit: int) -> Column:
     ).otherwise(text)
 
 
-def money_label(amount: Column) -> Column:
+@F.pandas_udf(StringType())
+def money_label(amounts: pd.Series) -> pd.Series:
     """Short money text: millions as ``1.23M``, thousands as ``1.23K``, the rest (every
-    negative amount too) as the plain number. Halves round up."""
-    amount = amount.cast("double")
-    # Doubles from 1e7 on print with an exponent; go through a decimal for those.
-    wide = F.regexp_replace(amount.cast("decimal(30,4)").cast("string"), r"(\.\d+?)0+$", "$1")
-    plain = F.when(amount <= -1e7, wide).otherwise(amount.cast("string"))
-    return (
-        F.when(amount >= 1e6, F.format_string("%.2fM", amount / 1e6))
-        .when(amount >= 1e3, F.format_string("%.2fK", amount / 1e3))
-        .otherwise(plain)
-    )
+    negative amount too) as the plain number. Rounds the exact value of the double, as no
+    built-in format does; it is meant for the few rows of a top list."""
+    def label(amount: float) -> str:
+        for unit, letter in ((1e6, "M"), (1e3, "K")):
+            if amount >= unit:
+                return f"{amount / unit:.2f}{letter}"
+        return str(amount)
+
+    return pd.Series([None if pd.isna(a) else label(float(a)) for a in amounts], dtype="object")

@@ -49,22 +49,25 @@ def with_share(df: DataFrame, column: str, share: str) -> DataFrame:
 
 def top_purchase_shares(summary: DataFrame) -> DataFrame:
     """The vendors with the largest shares of purchases, everything rounded to two places."""
-    shares = with_share(vendor_totals(summary), "total_purchase_dollars", "purchase_contribution")
-    return round_columns(top_rows(shares, "purchase_contribution", "vendorname"), 2)
+    return ranked_shares(summary).drop("place")
 
 
-def vendor_pareto(summary: DataFrame) -> DataFrame:
-    """Top vendors with money labels and the running total of their shares.
+def ranked_shares(summary: DataFrame) -> DataFrame:
+    """The top shares, rounded, with their place by the unrounded share.
 
     The window has no partition, but only the ten rows of the top list reach it.
     """
-    running = Window.orderBy(F.desc("purchase_contribution"), "vendorname").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    top = top_purchase_shares(summary).withColumn(
-        "cumulative_contribution", F.sum("purchase_contribution").over(running)
-    )
-    return top.withColumns(
+    shares = with_share(vendor_totals(summary), "total_purchase_dollars", "purchase_contribution")
+    top = top_rows(shares, "purchase_contribution", "vendorname")
+    place = F.row_number().over(Window.orderBy(F.desc("purchase_contribution"), "vendorname"))
+    return round_columns(top.withColumn("place", place), 2)
+
+
+def vendor_pareto(summary: DataFrame) -> DataFrame:
+    """Top vendors with money labels and the running total of their rounded shares, in the order of the exact ones."""
+    running = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    top = ranked_shares(summary).withColumn("cumulative_contribution", F.sum("purchase_contribution").over(running))
+    return top.orderBy("place").drop("place").withColumns(
         {c: money_label(F.col(c)) for c in ("total_purchase_dollars", "gross_profit", "total_sales_dollars")}
     )
 

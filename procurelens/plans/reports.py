@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from procurelens.functions.numbers import decimals_as_double, round_columns
 from procurelens.operators import quality, ranking, segments, stats
@@ -21,6 +22,7 @@ from procurelens.plans.summary import freight_by_vendor, purchase_totals, sales_
 from procurelens.schemas import RAW_SCHEMAS, SUMMARY_KEY
 from procurelens.session import work_dir
 from procurelens.sources import csv_folder, star
+from procurelens.sources.naming import clean_name
 from procurelens.streaming import csv_chunks
 
 Report = Callable[[SparkSession, str], DataFrame]
@@ -54,9 +56,9 @@ def _preview(name: str) -> Report:
     return raw_report(lambda t: quality.preview(t[name]))
 
 
-def _write_csv(df: DataFrame, path: str) -> None:
+def _write_csv(df: DataFrame, path: str, rows_per_file: int = 0) -> None:
     keep_spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.write.options(header=True, escape='"', **keep_spaces).csv(path)
+    df.write.options(header=True, escape='"', maxRecordsPerFile=rows_per_file, **keep_spaces).csv(path)
 
 
 def _export_csv(tables: Mapping[str, DataFrame], folder: str) -> None:
@@ -85,9 +87,13 @@ def csv_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_chunked_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales written as CSV parts, loaded chunk by chunk, and summed per vendor and brand."""
     folder, target = work_dir(spark, "csv"), work_dir(spark, "sales")
-    _write_csv(star.load(spark, sf_dir)["sales"].repartition(4), folder)
-    loaded = csv_chunks.load_in_chunks(spark, folder, target, RAW_SCHEMAS["sales"], files_per_chunk=2)
-    return decimals_as_double(sales_totals(loaded))
+    sales = star.load(spark, sf_dir)["sales"]
+    headers = ["Vendor No", "Brand", "Sales Quantity", "Sales Dollars", "Sales Price", "Excise Tax"]
+    _write_csv(sales.toDF(*headers), folder, rows_per_file=10_000)
+    kinds = [f.dataType for f in RAW_SCHEMAS["sales"].fields]
+    schema = StructType([StructField(clean_name(h), kind) for h, kind in zip(headers, kinds, strict=True)])
+    loaded = csv_chunks.load_in_chunks(spark, folder, target, schema, files_per_chunk=4)
+    return decimals_as_double(sales_totals(loaded.toDF(*sales.columns)))
 
 
 def _margins(summary: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import astuple, dataclass
+from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
@@ -14,7 +16,7 @@ from pyspark.sql import types as T
 
 from procurelens.functions.numbers import lenient_double
 from procurelens.schemas import RAW_SCHEMAS
-from procurelens.sources.naming import clean_names, table_name
+from procurelens.sources.naming import UnusableName, clean_names, table_name
 
 # Texts that stand for a missing value in a CSV field (fixed values).
 MISSING = [
@@ -25,37 +27,42 @@ MISSING = [
 # Fixed values of the format: header row, quotes doubled inside quotes, no broken records.
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "mode": "FAILFAST", "enforceSchema": False}
 
-AUDIT_SCHEMA = "file string, table string, rows bigint, status string, error string, seconds double"
+AUDIT_SCHEMA = "file string, table string, rows bigint, status string, condition string, error string, seconds double"
 
 
 @dataclass
 class Load:
     file: str
-    table: str
+    table: str | None
     rows: int | None
     status: str
+    condition: str | None
     error: str | None
     seconds: float
 
 
+class UnusableFile(ValueError):
+    """A file without a header, or without columns that its schema names."""
+
+
 def list_csv(spark: SparkSession, folder: str) -> list[str]:
     """Names in the folder that end in .csv in any case: files, or folders of part files.
 
-    Only the listing is read, never the content. A folder that is missing or has no CSV
-    gives an empty list.
+    Only the listing is read, never the content, so a file of zero bytes is named as well. A
+    folder that is missing or has no CSV gives an empty list.
     """
     root = folder.rstrip("/")
     try:
-        listing = spark.read.format("binaryFile").load(f"{root}/*.[cC][sS][vV]").select("path")
-        base = root.split("/")[-1]
-        # The entry is the path part that follows the folder.
-        entry = F.regexp_extract("path", rf"/\Q{base}\E/([^/]+\.[cC][sS][vV])(/[^/]+)?$", 1)
-        names = listing.select(entry.alias("name")).distinct().orderBy("name").collect()
+        paths = spark.read.format("binaryFile").load(f"{root}/*.[cC][sS][vV]").inputFiles()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return []
         raise
-    return [row.name for row in names if row.name]
+    base = re.escape(root.split("/")[-1])
+    # The entry is the path part that follows the folder.
+    entry = re.compile(rf"/{base}/([^/]+\.csv)(/[^/]+)?$", re.IGNORECASE)
+    found = (entry.search(unquote(path)) for path in paths)
+    return sorted({match[1] for match in found if match})
 
 
 def present(name: str) -> Column:
@@ -67,11 +74,17 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     """A comma CSV with a header row, its column names cleaned.
 
     With a schema, columns are matched by their cleaned names and cast strictly, without loss
-    of decimals; columns the schema does not know keep an inferred type. ``multi_line`` allows line breaks inside
+    of decimals; a file must have all of them, and columns the schema does not know keep an
+    inferred type. ``multi_line`` allows line breaks inside
     quotes, but then a file cannot be split over tasks.
     """
     text = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).csv(path)
+    if not text.columns:
+        raise UnusableFile("the file has no header")
     text = text.toDF(*clean_names(text.columns))
+    absent = [f.name for f in schema.fields if f.name not in text.columns] if schema else []
+    if absent:
+        raise UnusableFile(f"the file lacks the columns {absent}")
     text = text.select(*[present(c).alias(c) for c in text.columns])
     known = {f.name: f.dataType for f in schema.fields} if schema else {}
     types = infer_types(text.select(*[c for c in text.columns if c not in known]))
@@ -80,13 +93,22 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     )
 
 
+def fraction_digits(text: Column) -> Column:
+    """Decimal places that a number as text needs, exponent counted in; NULL for other texts."""
+    part = lambda i: F.regexp_extract(text, r"^\s*[+-]?(\d*)\.?(\d*)(?:[eE]([+-]?\d+))?\s*$", i)
+    digits = F.concat(part(1), part(2))
+    short = F.regexp_replace(digits, "0+$", "")
+    places = F.length(part(2)) - F.coalesce(part(3).try_cast("int"), F.lit(0)) - (F.length(digits) - F.length(short))
+    return F.when(digits == "", None).when(short == "", 0).otherwise(F.greatest(places, F.lit(0)))
+
+
 def exact_cast(name: str, kind: T.DataType) -> Column:
     """A strict cast; a decimal that would lose digits is an error as well."""
     text = F.col(name)
     if not isinstance(kind, T.DecimalType):
         return text.cast(kind)
     lossy = F.concat(F.lit(f"{name} does not fit {kind.simpleString()}: "), text)
-    return F.when(text.cast("decimal(38,12)") != text.cast(kind), F.raise_error(lossy)).otherwise(text.cast(kind))
+    return F.when(fraction_digits(text) > kind.scale, F.raise_error(lossy)).otherwise(text.cast(kind))
 
 
 def _typed(name: str, kind: str) -> Column:
@@ -141,9 +163,10 @@ def load_file(
         df.observe(observed, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
             f"{target.rstrip('/')}/{table}"
         )
-        return Load(file, table, observed.get["rows"], "loaded", None, time.time() - start)
+        return Load(file, table, observed.get["rows"], "loaded", None, None, time.time() - start)
     except Exception as error:
-        return Load(file, table, None, "failed", str(error)[:2000], time.time() - start)
+        condition = getattr(error, "getCondition", lambda: None)() or type(error).__name__
+        return Load(file, table, None, "failed", condition, str(error), time.time() - start)
 
 
 def load_folder(
@@ -162,12 +185,20 @@ def load_folder(
     """
     schemas = RAW_SCHEMAS if schemas is None else schemas
     files = list_csv(spark, folder)
-    tables = [table_name(f) for f in files]
+    named: dict[str, str | UnusableName] = {}
+    for file in files:
+        try:
+            named[file] = table_name(file)
+        except UnusableName as error:
+            named[file] = error
+    tables = list(named.values())
 
     def load(file: str) -> Load:
-        table = table_name(file)
+        table = named[file]
+        if isinstance(table, UnusableName):
+            return Load(file, None, None, "failed", "UnusableName", str(table), 0.0)
         if tables.count(table) > 1:
-            return Load(file, table, None, "failed", f"several files give the table {table}", 0.0)
+            return Load(file, table, None, "failed", "NameCollision", f"several files give the table {table}", 0.0)
         return load_file(spark, folder, file, target, schemas.get(table), multi_line)
 
     with ThreadPoolExecutor(max(1, parallel)) as pool:

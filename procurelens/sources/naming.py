@@ -1,28 +1,48 @@
-"""Table and column names that are safe everywhere."""
+"""Table and column names that a catalog takes.
+
+Letters and digits stay, in lower case; whatever else stands in a name becomes an underscore.
+"""
 
 from __future__ import annotations
 
-import os
-from collections import Counter
+import re
+from pathlib import PurePosixPath
+
+#: Longest name that catalogs store (a fixed value of the Hive metastore).
+LONGEST = 128
+_OTHER = re.compile(r"[\W_]")
 
 
 class NameCollision(ValueError):
     """Two names became the same after cleaning."""
 
 
+class UnusableName(ValueError):
+    """A name that a catalog refuses: empty, or too long."""
+
+
 def clean_name(name: str) -> str:
-    """Lower case, with every character that is neither letter nor digit as an underscore."""
-    return "".join(ch.lower() if ch.isalnum() else "_" for ch in str(name))
+    """The cleaned name; an error when nothing is left or too much."""
+    text = _OTHER.sub("_", name)
+    cleaned = text.lower() if text.isascii() else "".join(map(str.lower, text))
+    if not cleaned:
+        raise UnusableName("a name is empty")
+    if len(cleaned) > LONGEST:
+        raise UnusableName(f"a name has {len(cleaned)} characters, {LONGEST} are the most: {cleaned}")
+    return cleaned
 
 
 def table_name(file_name: str) -> str:
-    return clean_name(os.path.splitext(file_name)[0])
+    """The table of a file: its cleaned name without the last ending."""
+    return clean_name(PurePosixPath(file_name).stem)
 
 
 def clean_names(names: list[str]) -> list[str]:
-    """Clean names in order; an error when two of them collide."""
-    cleaned = [clean_name(n) for n in names]
-    repeated = sorted(n for n, times in Counter(cleaned).items() if times > 1)
-    if repeated:
-        raise NameCollision(f"names collide after cleaning: {repeated}")
-    return cleaned
+    """Clean names in order; an error that lists the originals when some become the same."""
+    origins: dict[str, list[str]] = {}
+    for name in names:
+        origins.setdefault(clean_name(name), []).append(name)
+    same = {cleaned: given for cleaned, given in origins.items() if len(given) > 1}
+    if same:
+        raise NameCollision("; ".join(f"{given} all become {cleaned}" for cleaned, given in sorted(same.items())))
+    return list(map(clean_name, names))

@@ -7,12 +7,15 @@ after a lost driver neither loses nor repeats rows.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from procurelens.session import work_dir
-from procurelens.sources.csv_folder import CSV_OPTIONS, exact_cast, present
+from procurelens.sources.csv_folder import AUDIT_SCHEMA, CSV_OPTIONS, UnusableFile, exact_cast, present
+from procurelens.sources.naming import clean_names
 
 CHUNK = "chunk"
 
@@ -25,22 +28,36 @@ def load_in_chunks(
     files_per_chunk: int = 8,
     checkpoint: str | None = None,
 ) -> DataFrame:
-    """Load what the folder holds now and return the table.
+    """Load what the folder holds now and return the table, with the columns of the schema.
 
-    The schema lists the columns in file order; values are cast strictly. Pass the checkpoint
-    of an interrupted load to go on with it; a new one starts the table over.
+    Columns are matched by their cleaned names, all parts have the same header, and values are
+    cast strictly. A folder without CSV gives an empty table. Pass the checkpoint of an
+    interrupted load to go on with it; a new one starts the table over. One audit row, with the
+    rows of the whole table, is written to ``target/_load_audit``.
     """
-    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    start, wanted = time.time(), [f.name for f in schema.fields]
+    if not spark.read.format("binaryFile").load(source).inputFiles():
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(target)
+        return _audited(spark, spark.read.schema(schema).parquet(target), source, target, start)
+    header = spark.read.options(**CSV_OPTIONS).csv(source).columns
+    cleaned = clean_names(header)
+    absent = [name for name in wanted if name not in cleaned]
+    if absent:
+        raise UnusableFile(f"the parts lack the columns {absent}")
+    texts = T.StructType([T.StructField(name, T.StringType()) for name in header])
     reader = spark.readStream.schema(texts).options(**CSV_OPTIONS).option("maxFilesPerTrigger", files_per_chunk)
-    given = reader.csv(source).select(*[present(f.name).alias(f.name) for f in schema.fields])
+    given = reader.csv(source).toDF(*cleaned).select(*[present(name).alias(name) for name in wanted])
     typed = given.select(*[exact_cast(f.name, f.dataType).alias(f.name) for f in schema.fields])
+    part = CHUNK
+    while part in wanted:
+        part += "_"
 
     def write(chunk: DataFrame, number: int) -> None:
         (
-            chunk.withColumn(CHUNK, F.lit(number).cast("bigint"))
+            chunk.withColumn(part, F.lit(number).cast("bigint"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static" if number == 0 else "dynamic")
-            .partitionBy(CHUNK)
+            .partitionBy(part)
             .parquet(target)
         )
 
@@ -51,4 +68,12 @@ def load_in_chunks(
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField(CHUNK, T.LongType())])).parquet(target)
+    stored = T.StructType([*schema.fields, T.StructField(part, T.LongType())])
+    return _audited(spark, spark.read.schema(stored).parquet(target).drop(part), source, target, start)
+
+
+def _audited(spark: SparkSession, loaded: DataFrame, source: str, target: str, start: float) -> DataFrame:
+    names = [x.rstrip("/").split("/")[-1] for x in (source, target)]
+    row = (*names, loaded.count(), "loaded", None, None, time.time() - start)
+    spark.createDataFrame([row], AUDIT_SCHEMA).write.mode("overwrite").parquet(f"{target.rstrip('/')}/_load_audit")
+    return loaded

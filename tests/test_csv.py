@@ -3,6 +3,7 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import types as T
 from helpers import rows
 
 from procurelens.session import work_dir
@@ -38,7 +39,7 @@ def test_missing_and_empty_folders_load_nothing(spark, tmp_path):
 def test_folder_load(spark, tmp_path):
     source, target = tmp_path / "in", str(tmp_path / "out")
     write(source, **{
-        "Purchase-Prices.csv": 'Vendor Number,Brand,Price,Volume\n1,10,3.50,750\n2,11,4.25,Unknown\n',
+        "Purchase-Prices.csv": 'VendorNumber,Brand,Price,Volume\n1,10,3.50,750\n2,11,4.25,Unknown\n',
         "Vendor__Invoice.CSV": "VendorNumber,PONumber,Freight,Note\n1,7,1.50,\"late, heavy\"\n1,8,,NA\n",
         "stock.Csv": "Id,Qty,Share,Flag,Name,Gap\n1,5,0.5,True,x,\n2,NA,2,False,\"say \"\"hi\"\"\",\n",
         "bad.csv": "Vendor No,vendor-no\n1,2\n",
@@ -104,7 +105,9 @@ def test_chunked_load_replaces_then_adds(spark, tmp_path):
     head = "vendornumber,ponumber,freight\n"
     write(source, **{f"p{i}.csv": f"{head}{i},7,1.50\n{i},,NA\n" for i in range(5)})
     table = load_in_chunks(spark, str(source), target, VENDOR_INVOICE, files_per_chunk=2)
-    assert table.select("chunk").distinct().count() == 3
+    assert table.columns == [f.name for f in VENDOR_INVOICE.fields]
+    assert spark.read.parquet(target).select("chunk").distinct().count() == 3
+    assert spark.read.parquet(f"{target}/_load_audit").first().rows == 10
     assert table.count() == 10 and table.where("freight IS NULL AND ponumber IS NULL").count() == 5
     again = tmp_path / "again"
     write(again, **{"one.csv": f"{head}9,9,9.00\n"})
@@ -119,3 +122,51 @@ def test_chunked_load_goes_on_from_its_checkpoint(spark, tmp_path):
     write(source, **{"b.csv": f"{head}2,2,2.00\n"})
     table = load_in_chunks(spark, str(source), target, VENDOR_INVOICE, checkpoint=checkpoint)
     assert sorted(r.vendornumber for r in table.collect()) == [1, 2]
+
+
+def test_chunked_load_cleans_headers_and_empties_the_table(spark, tmp_path):
+    source, target = tmp_path / "parts", str(tmp_path / "table")
+    kinds = [f.dataType for f in VENDOR_INVOICE.fields]
+    schema = T.StructType([T.StructField(n, k) for n, k in zip(["vendor_no", "po_number", "freight"], kinds)])
+    write(source, **{"a.csv": "PO Number,Vendor No,Freight\n7,1,1.00\n"})
+    assert tuple(load_in_chunks(spark, str(source), target, schema).first())[:2] == (1, 7)
+    nothing = tmp_path / "nothing"
+    nothing.mkdir()
+    assert load_in_chunks(spark, str(nothing), target, schema).count() == 0
+    write(source, **{"a.csv": "Vendor No,Freight\n1,1.00\n"})
+    with pytest.raises(csv_folder.UnusableFile, match="po_number"):
+        load_in_chunks(spark, str(source), target, schema)
+
+
+def test_every_file_is_in_the_audit_without_loss(spark, tmp_path):
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    head = "vendornumber,ponumber,freight\n"
+    write(source, **{
+        "empty.csv": "", "header only.csv": "a,b\n", "Vendor Invoice.csv": f"{head}1,2,1.0000000000004\n",
+        "sales.csv": "Vendor No,brand\n1,2\n", "good.csv": "a,b\n1,x\n", f"{'n' * 140}.csv": "a\n1\n",
+    })
+    schemas = {**csv_folder.RAW_SCHEMAS, "vendor_invoice": VENDOR_INVOICE}
+    audit = {r.file: r for r in csv_folder.load_folder(spark, str(source), target, schemas).collect()}
+    assert {f: r.status for f, r in audit.items()} == {
+        "empty.csv": "failed", "header only.csv": "loaded", "Vendor Invoice.csv": "failed", "sales.csv": "failed",
+        "good.csv": "loaded", f"{'n' * 140}.csv": "failed",
+    }
+    assert audit["empty.csv"].condition == "UnusableFile" and audit["header only.csv"].rows == 0
+    assert "1.0000000000004" in audit["Vendor Invoice.csv"].error
+    assert "salesquantity" in audit["sales.csv"].error and "vendorno" in audit["sales.csv"].error
+
+
+@pytest.mark.parametrize("text,places", [
+    ("1.5000000000000004", 16), ("1.50", 1), ("-0.00", 0), ("12", 0), ("1e-3", 3), ("1.25E2", 0), ("1.255e1", 2),
+    ("1000e-2", 0), (".5", 1), ("x", None), ("", None)])
+def test_fraction_digits(spark, text, places):
+    from pyspark.sql import functions as F
+
+    assert spark.range(1).select(csv_folder.fraction_digits(F.lit(text)).alias("n")).first().n == places
+
+
+def test_names_that_a_catalog_refuses():
+    assert naming.clean_names(["Vendor No", "Übung-1"]) == ["vendor_no", "übung_1"]
+    for bad in ("", "x" * 129):
+        with pytest.raises(naming.UnusableName):
+            naming.clean_name(bad)

@@ -20,7 +20,8 @@ def one(spark, expression):
 @pytest.mark.parametrize("amount,label", [
     (999.99, "999.99"), (1000.0, "1.00K"), (1_000_000.0, "1.00M"), (-52002.78, "-52002.78"), (0.0, "0.0"),
     (123.0, "123.0"), (2_345_678.0, "2.35M"), (999_999.99, "1000.00K"), (-12_345_678.9, "-12345678.9"),
-    (-20_000_000.0, "-20000000.0"), (None, None)])
+    (-20_000_000.0, "-20000000.0"), (None, None), (1005.0, "1.00K"), (1015.0, "1.01K"), (1125.0, "1.12K"),
+    (2675.0, "2.67K"), (1_005_000.0, "1.00M"), (-12_345_678.12345, "-12345678.12345")])
 def test_money_labels(spark, amount, label):
     assert one(spark, text.money_label(F.lit(amount))) == label
 
