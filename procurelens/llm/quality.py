@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from procurelens.llm.common import table
-from procurelens.llm.labelled import fold, smallest_hashes, texts_of, training_labels
+from procurelens.llm.labelled import fold, release_memory, smallest_hashes, texts_of, training_labels
 
 FOLDS, HELD_OUT = 5, 0
 #: Rows that training reads.
@@ -144,7 +144,10 @@ def fit(
     positive = got["positive"].to_numpy(dtype=bool)
     if not positive.any() or positive.all():
         return LinearScorer(np.zeros(WIDTH, "float32"), 60.0 if positive.any() else -60.0)
-    return train(rows[positive], rows[~positive], good / total)
+    model = train(rows[positive], rows[~positive], good / total)
+    del got, rows
+    release_memory()
+    return model
 
 
 def _scores(model: LinearScorer):

@@ -29,11 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from procurelens.llm.common import table
-from procurelens.llm.labelled import fold, smallest_hashes, texts_of, training_labels
+from procurelens.llm.labelled import fold, release_memory, smallest_hashes, texts_of, training_labels
 
 FOLDS, HELD_OUT = 3, 1
 #: Labelled rows that training reads, of each class.
-MOST_EACH = 2000
+MOST_EACH = 1500
 #: Score from which a document counts as toxic.
 THRESHOLD = 0.7
 BUCKETS, DIM = 1 << 18, 4
@@ -267,7 +267,10 @@ def fit(
     weights = np.ones(len(y), "float32")
     for c in (0, 1):
         weights[y == c] = share[c] / total * len(y) / max(1, (y == c).sum())
-    return train(bags, y, weights)
+    model = train(bags, y, weights)
+    del got, bags
+    release_memory()
+    return model
 
 
 def _scores(model: SubwordModel):
