@@ -319,7 +319,7 @@ ORACLE_SQL: dict[str, str] = {
         ])),
     **{f"preview_{t}": with_(RAW, f"SELECT {c} FROM {t} ORDER BY ALL LIMIT 5") for t, c in PREVIEWS.items()},
     "preview_begin_inventory": with_(RAW, "SELECT * FROM inventory ORDER BY ALL LIMIT 5"),
-    "preview_end_inventory": with_(RAW, "SELECT * FROM inventory ORDER BY ALL LIMIT 5"),
+    "preview_end_inventory": with_(RAW, "SELECT * REPLACE (onhand - (onhand + 2) // 3 AS onhand) FROM inventory ORDER BY ALL LIMIT 5"),
     "vendor_rows": with_(RAW, vendor_rows()),
     "vendor_purchases_by_price": with_(RAW, """
         SELECT brand, price_c / 100.0 AS purchaseprice, sum(quantity)::BIGINT AS total_quantity,
@@ -360,7 +360,7 @@ ORACLE_SQL: dict[str, str] = {
     "null_profile": with_(SUMMARY, "SELECT " + ", ".join(
         f"count(*) - count({c}) AS {c}_nulls" for c, _ in RAW_SUMMARY_TYPES) + " FROM summary"),
     "column_profile": with_(SUMMARY, " UNION ALL ".join(
-        f"SELECT {i} AS ordinal, '{c}' AS column_name, '{t}' AS data_type, count(*) - count({c}) AS nulls FROM summary"
+        f"SELECT {i} AS ordinal, '{c}' AS column_name, '{t}' AS data_type, true AS is_nullable, count(*) - count({c}) AS nulls FROM summary"
         for i, (c, t) in enumerate(RAW_SUMMARY_TYPES, start=1))),
     "untrimmed_names": with_(SUMMARY, f"""
         SELECT vendorname, CAST(length(vendorname) AS INTEGER) AS original_length,
@@ -385,7 +385,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT vendorname, CAST(length(vendorname) AS INTEGER) AS current_length,
                '>' || vendorname || '<' AS visualized
         FROM clean WHERE {PADDED}"""),
-    "distinct_vendors": with_(CLEAN, "SELECT DISTINCT vendorname FROM clean ORDER BY 1"),
+    "distinct_vendors": with_(SUMMARY, "SELECT DISTINCT vendorname FROM summary ORDER BY 1"),
     "distinct_good_brands": with_(CLEAN, "SELECT DISTINCT description FROM good ORDER BY 1"),
     "profitable_rows": with_(CLEAN, f"SELECT {CLEAN_ROUNDED} FROM good"),
     "low_turnover": with_(CLEAN, """

@@ -47,8 +47,8 @@ def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
             step = c * d
             h = h * step
         if np.all(np.abs(step - 1) < 1e-15):
-            break
-    return h
+            return h
+    raise ArithmeticError("the continued fraction did not converge")
 
 
 def two_sided_tail(t: np.ndarray, df: np.ndarray) -> np.ndarray:
@@ -73,13 +73,15 @@ def upper_quantile(level: np.ndarray, df: np.ndarray) -> np.ndarray:
         if not short.any():
             break
         low, high = np.where(short, high, low), np.where(short, high * 2, high)
+    else:
+        raise ArithmeticError("no bound above the quantile")
     for _ in range(200):
         middle = (low + high) / 2
         above = two_sided_tail(middle, df) > tail
         low, high = np.where(above, middle, low), np.where(above, high, middle)
-        if np.all(high - low <= 1e-15 * high):
-            break
-    return (low + high) / 2
+        if np.all((high - low <= 1e-15 * high) | (middle == low) | (middle == high)):
+            return (low + high) / 2
+    raise ArithmeticError("the bisection did not converge")
 
 
 def _rowwise(function, first: pd.Series, df: pd.Series) -> pd.Series:

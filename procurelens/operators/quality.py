@@ -101,14 +101,14 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def column_profile(df: DataFrame) -> DataFrame:
-    """One row per column: position, name, type and NULLs."""
+    """One row per column: position, name, type, whether it may be NULL, and NULLs."""
     counts = null_profile(df)
     fields = [
-        f"{i}, '{f.name}', '{f.dataType.simpleString()}', `{f.name}_nulls`"
+        f"{i}, '{f.name}', '{f.dataType.simpleString()}', {str(f.nullable).lower()}, `{f.name}_nulls`"
         for i, f in enumerate(df.schema.fields, start=1)
     ]
     return counts.selectExpr(
-        f"stack({len(fields)}, {', '.join(fields)}) AS (ordinal, column_name, data_type, nulls)"
+        f"stack({len(fields)}, {', '.join(fields)}) AS (ordinal, column_name, data_type, is_nullable, nulls)"
     ).orderBy("ordinal")
 
 

@@ -10,6 +10,7 @@ from procurelens.operators.quality import require_key
 from procurelens.plans.cleaning import CLEANERS
 from procurelens.plans.summary import vendor_summary
 from procurelens.schemas import SUMMARY_KEY
+from procurelens.session import work_dir
 from procurelens.sources.tables import replace_path, replace_table
 
 
@@ -23,16 +24,18 @@ def build_summary(
 ) -> DataFrame:
     """Summarise, clean, write in place of the old table, and return the written table.
 
-    The strict mode also demands that vendor and brand are a key of what was written. Row
-    order is left to the readers: Parquet files have none, and the sort would cost a shuffle.
-    Errors are not caught.
+    The strict mode also demands that vendor and brand are a key. It writes to the shared work
+    folder first, and replaces the old table only when the key holds. Row order is left to the
+    readers: Parquet files have none, and the sort would cost a shuffle. Errors are not caught.
     """
     cleaned = CLEANERS[mode](vendor_summary(tables, ordered=False), **options)
+    if mode == "strict":
+        staged = work_dir(spark, "staged-summary")
+        replace_path(cleaned, staged)
+        cleaned = spark.read.parquet(staged)
+        require_key(cleaned, SUMMARY_KEY)
     if name:
         replace_table(cleaned, name, path)
     else:
         replace_path(cleaned, path)
-    written = spark.read.parquet(path)
-    if mode == "strict":
-        require_key(written, SUMMARY_KEY)
-    return written
+    return spark.read.parquet(path)

@@ -23,6 +23,7 @@ from procurelens.schemas import RAW_SCHEMAS, SUMMARY_KEY
 from procurelens.session import work_dir
 from procurelens.sources import csv_folder, star
 from procurelens.sources.naming import clean_name
+from procurelens.sources.tables import replace_path
 from procurelens.streaming import csv_chunks
 
 Report = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +43,21 @@ def summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(_built[key])
 
 
+def raw_summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary before cleaning, written on first use in this session."""
+    key = (spark.sparkContext.applicationId, f"raw:{sf_dir}")
+    if key not in _built:
+        path = work_dir(spark, "raw_summary_table")
+        replace_path(vendor_summary(star.load(spark, sf_dir), ordered=False), path)
+        _built[key] = path
+    return spark.read.parquet(_built[key])
+
+
+def raw_summary_report(build: Callable[[DataFrame], DataFrame]) -> Report:
+    """A report on the summary before cleaning, from its written table."""
+    return lambda spark, sf_dir: decimals_as_double(build(raw_summary_table(spark, sf_dir)))
+
+
 def raw_report(build: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Report:
     """A report on the raw tables, decimals shown as doubles."""
     return lambda spark, sf_dir: decimals_as_double(build(star.load(spark, sf_dir)))
@@ -145,17 +161,17 @@ REPORTS: dict[str, Report] = {
     "summary_clean_py": raw_report(_cleaned),
     "summary_clean_sql": raw_report(lambda t: clean_strict(vendor_summary(t, ordered=False), strict_volume=False)),
     # checks on the raw summary
-    "null_profile": raw_report(lambda t: quality.null_profile(vendor_summary(t, ordered=False))),
-    "column_profile": raw_report(lambda t: quality.column_profile(vendor_summary(t, ordered=False))),
-    "untrimmed_names": raw_report(lambda t: quality.untrimmed(vendor_summary(t, ordered=False))),
-    "visible_whitespace": raw_report(lambda t: quality.visible_spaces(vendor_summary(t, ordered=False))),
-    "padded_before_cleaning": raw_report(lambda t: quality.still_padded(vendor_summary(t, ordered=False))),
+    "null_profile": raw_summary_report(quality.null_profile),
+    "column_profile": raw_summary_report(quality.column_profile),
+    "untrimmed_names": raw_summary_report(quality.untrimmed),
+    "visible_whitespace": raw_summary_report(quality.visible_spaces),
+    "padded_before_cleaning": raw_summary_report(quality.still_padded),
     # checks on the built summary
     "summary_preview": summary_report(lambda s: quality.preview(s, 10, SUMMARY_KEY)),
     "duplicate_keys": summary_report(lambda s: quality.duplicate_keys(s, SUMMARY_KEY)),
     "key_violations": summary_report(lambda s: quality.key_violations(s, SUMMARY_KEY)),
     "post_clean_check": summary_report(quality.still_padded),
-    "distinct_vendors": summary_report(lambda s: quality.distinct_values(s, "vendorname")),
+    "distinct_vendors": raw_summary_report(lambda s: quality.distinct_values(s, "vendorname")),
     "distinct_good_brands": summary_report(lambda s: quality.distinct_values(profitable(s), "description")),
     "profitable_rows": summary_report(profitable),
     # slow movers

@@ -113,7 +113,10 @@ def begin_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-end_inventory = begin_inventory
+def end_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stock at the end: what is left of the opening stock after a third, rounded up, is sold."""
+    return begin_inventory(spark, sf_dir).withColumn("onhand", F.expr("onhand - (onhand + 2) div 3").cast("int"))
+
 
 TABLES = {
     "purchases": purchases,

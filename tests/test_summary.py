@@ -58,8 +58,12 @@ def test_pairs_without_sales_or_freight_stay(spark):
 def test_two_purchase_prices_break_the_key(spark):
     t = raw_tables(spark, [GIN, (1, "Acme", 10, "Gin", "2.50", 1, "2.50")], [(1, 10, "3.00", "750")])
     assert vendor_summary(t).count() == 2
+    path = work_dir(spark, "strict")
+    good = raw_tables(spark, [GIN], [(1, 10, "3.00", "750")])
+    build_summary(spark, good, path, mode="strict")
     with pytest.raises(quality.KeyViolation):
-        build_summary(spark, t, work_dir(spark, "strict"), mode="strict")
+        build_summary(spark, t, path, mode="strict")
+    assert spark.read.parquet(path).count() == 1  # the good table is still there
 
 
 def test_spread_join_keeps_every_row_of_a_hot_key(spark):
