@@ -1,14 +1,22 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences, every run of ``SPAN`` consecutive sentences is hashed, and hashes
-meet globally. The first span of a hash, by document id and place, stays; the sentences that any
-other span of the hash covers are removed.
-
-A sentence ends after a word that ends in . ! or ?, at a line end, or after 20 words, so a long
-passage without marks is several sentences. A span counts from ``MIN_WORDS`` words on, for short
-phrases repeat by chance. Hashes have 128 bits. First places are combined on the map side, and
-spans meet them in a join that adaptive execution can split, so a passage in a third of all
-documents is no single task.
+A text is cut into sentences, at every sentence the run of ``SPAN`` consecutive sentences is
+hashed, and hashes meet globally. The first span of a hash, by document id and place, stays; the
+sentences that any other span of the hash covers are removed.
+
+A sentence ends after a word that ends in a mark (``MARKS``) or at a line end. Longer stretches
+are also cut at places that their words alone decide: after a word whose hash, taken with the word
+before it, is the smallest within ``REACH`` words on both sides, where a mark, a line end and the
+start of the text count as smallest of all. So a passage is cut alike wherever it stands. Where
+no place is smallest for more than ``MAX_SENTENCE_WORDS``, which takes a word or two or three words
+that repeat, cuts follow every ``REPEAT_WORDS``, so that runs start at each word of the repeat. In
+scripts without blanks every character is a word.
+
+A run of fewer than ``MIN_WORDS`` words, which would repeat by chance, takes as many more sentences
+as reach that count; only where the text ends before it there is no span, and an earlier run then
+covers those sentences. Hashes have 128 bits. First places are combined on the map side, and spans
+meet them in a join that adaptive execution can split, so a passage in a third of all documents is
+no single task.
 
 Defined cases: a null or empty text has no sentences and an empty kept text; null ids come
 first; rows that repeat id and text are one document and share its answer; ties cannot be, since
@@ -18,6 +26,10 @@ of a text is dropped; an empty table gives an empty result; extra columns are ig
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,35 +38,111 @@ from procurelens.llm.common import saved, table
 SPAN = 2
 MIN_WORDS = 10
 MAX_SENTENCE_WORDS = 20
-#: A sentence with the white space before it.
+#: Words on both sides among which the hash at a cut is the smallest.
+REACH = 3
+#: Words between cuts where up to ``REACH`` words repeat; shares no factor with 2 or 3.
+REPEAT_WORDS = 7
+#: Marks that end a sentence, with the full-width, Arabic and Indic ones.
+MARKS = ".!?。！？｡．؟۔।"
+#: First and last code points of scripts without blanks: Thai and Lao, Burmese, Khmer, kana, Han.
+UNSPACED = ((0xE01, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3041, 0x30FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+#: A sentence with the white space before it, as ``OP9_SQL`` cuts it.
 PIECE = (
     r"[\x09-\x0D\x20]*(?:[^\x09-\x0D\x20]*[^\x09-\x0D\x20.!?][\x09\x20]+){0,%d}[^\x09-\x0D\x20]+" % (MAX_SENTENCE_WORDS - 1)
 )
-
-
-def _pieces(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text_key, pieces): pieces in order; together they are the text without its last white space."""
+#: Rows that are cut and sent back at a time.
+STEP = 200
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def sentence_ends(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where each sentence ends in the text, and how many words end up to there."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    line = (codes >= 10) & (codes <= 13)
+    blank = line | (codes == 9) | (codes == 32)
+    alone = np.zeros(len(codes), bool)
+    if len(codes) and codes.max() >= UNSPACED[0][0]:
+        for low, high in UNSPACED:
+            alone |= (codes >= low) & (codes <= high)
+    edge = np.ones(len(codes) + 1, bool)
+    edge[1:-1] = (blank[1:] != blank[:-1]) | alone[1:] | alone[:-1]
+    at = np.flatnonzero(edge)
+    word = np.flatnonzero(~blank[at[:-1]])
+    starts, stops = at[word], at[word + 1]
+    n = len(starts)
+    if not n:
+        return np.empty(0, "int64"), np.empty(0, "int64")
+    place = np.arange(len(codes)) - np.repeat(at[:-1], np.diff(at))
+    own = np.add.reduceat(_mixed(codes + (place.astype("uint64") << np.uint64(32))), at[:-1])[word]
+    value = _mixed(own * np.uint64(0x9E3779B97F4A7C15) + np.concatenate([[np.uint64(0)], own[:-1]])) | np.uint64(1)
+    lines = np.concatenate([[0], np.cumsum(line)])
+    ends = np.isin(codes[stops - 1], [ord(c) for c in MARKS]) | np.append(lines[starts[1:]] > lines[stops[:-1]], True)
+    value[ends] = 0
+    wide = np.concatenate([np.full(REACH - 1, ~np.uint64(0)), [np.uint64(0)], value, np.full(REACH, ~np.uint64(0))])
+    least = value > 0
+    for k in range(1, REACH + 1):
+        least &= (value < wide[REACH - k : REACH - k + n]) & (value <= wide[REACH + k : REACH + k + n])
+    cuts = np.flatnonzero(ends | least) + 1
+    gaps = np.diff(cuts, prepend=0)
+    more = np.where(gaps > MAX_SENTENCE_WORDS, (gaps - 1) // REPEAT_WORDS, 0)
+    if more.any():
+        first = np.repeat(np.cumsum(more) - more, more)
+        late = np.repeat(cuts - gaps, more) + (np.arange(more.sum()) - first + 1) * REPEAT_WORDS
+        cuts = np.sort(np.concatenate([cuts, late]))
+    return stops[cuts - 1], cuts
+
+
+def run_ends(words: np.ndarray, span: int, min_words: int) -> np.ndarray:
+    """The sentence after the run that starts at each; 0 where the text ends too early. ``words`` are running counts."""
+    n = len(words)
+    before = np.concatenate([[0], words[:-1]])
+    stops = np.maximum(np.searchsorted(words, before + min_words) + 1, np.arange(n) + span)
+    return np.where(stops <= n, stops, 0)
+
+
+def _cut(span: int, min_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, STEP):
+                batch = whole.slice(start, STEP)
+                pieces, stops = [], []
+                for text in batch.column(2).to_pylist():
+                    ends, words = sentence_ends(text)
+                    places = [0, *ends.tolist()]
+                    pieces.append([text[a:b] for a, b in zip(places, places[1:], strict=False)])
+                    stops.append(run_ends(words, span, min_words) if len(words) else words)
+                columns = [batch.column(0), batch.column(1), pa.array(pieces, pa.list_(pa.string())), pa.array(stops, pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "pieces", "stops"])
+
+    return run
+
+
+def _pieces(docs: DataFrame, id_col: str, text_col: str, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, text_key, pieces, stops): pieces in order, together the text without its last white space, and the ends of runs."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.xxhash64(text).alias("text_key"),
-        F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)).alias("pieces"),
-    )
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(_cut(span, min_words), f"doc_id {kind}, text_key long, pieces array<string>, stops array<int>")
 
 
 def sentence_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
-    """(h1, h2, doc_id, text_key, at): hash and first sentence of every span that counts."""
+    """(h1, h2, doc_id, text_key, at, stop): hash, first sentence and sentence after it of every span."""
     blanks = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
-    rows = _pieces(docs, id_col, text_col).selectExpr(
-        "doc_id", "text_key", f"transform(pieces, p -> ltrim({blanks}, p)) AS sentences"
+    rows = _pieces(docs, id_col, text_col, span, min_words).selectExpr(
+        "doc_id", "text_key", "stops", f"transform(pieces, p -> ltrim({blanks}, p)) AS sentences"
+    )
+    rows = rows.selectExpr(
+        "doc_id", "text_key", "stops",
+        "posexplode(transform(stops, (e, i) -> IF(e > 0, array_join(slice(sentences, i + 1, e - i), chr(10)), NULL))) AS (at, span)",
+    ).where("span IS NOT NULL")
+    return rows.select(
+        F.xxhash64("span").alias("h1"), F.xxhash64(F.lit(7), "span").alias("h2"), "doc_id", "text_key", "at", F.expr("stops[at]").alias("stop")
     )
-    rows = rows.where(f"size(sentences) >= {span}").selectExpr(
-        "doc_id", "text_key",
-        f"posexplode(transform(sequence(0, size(sentences) - {span}),"
-        f" i -> array_join(slice(sentences, i + 1, {span}), chr(10)))) AS (at, span)",
-    )
-    rows = rows.where(F.regexp_count("span", F.lit(r"[^\x20\x09-\x0D]+")) >= min_words)
-    return rows.select(F.xxhash64("span").alias("h1"), F.xxhash64(F.lit(7), "span").alias("h2"), "doc_id", "text_key", "at")
 
 
 def repeated_sentences(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
@@ -62,8 +150,8 @@ def repeated_sentences(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     spans = saved(spark, sentence_spans(docs, id_col, text_col, span, min_words), "spans")
     place = F.struct("doc_id", "text_key", "at")
     first = spans.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = spans.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_key", "at").distinct()
-    covered = F.array_distinct(F.flatten(F.collect_list(F.sequence(F.col("at"), F.col("at") + span - 1))))
+    later = spans.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_key", "at", "stop").distinct()
+    covered = F.array_distinct(F.flatten(F.collect_list(F.sequence(F.col("at"), F.col("stop") - 1))))
     return later.groupBy("doc_id", "text_key").agg(covered.alias("removed"), F.count("*").alias("spans"))
 
 

@@ -170,3 +170,21 @@ def test_sentence_spans_edge_cases(spark, docs_of, edge, empty):
     assert (rows[2]["n_spans"], rows[2]["n_removed"]) == (1, 2)
     assert sentence_dedup.without_repeats(spark, edge).count() == len(EDGE)
     assert sentence_dedup.without_repeats(spark, empty).count() == 0
+
+
+def _invented(rng, n):
+    return [f"w{rng.integers(1 << 40)}" for _ in range(n)]
+
+
+def test_sentence_spans_of_short_lines(spark, docs_of):
+    """Runs of short lines, characters without blanks and single repeated words are no gap."""
+    rng = np.random.default_rng(5)
+    lines = "\n".join(" ".join(_invented(rng, 4)) for _ in range(40))
+    han = "".join(chr(0x4E00 + i) for i in rng.choice(2000, 60, replace=False).tolist())
+    han = han[:25] + "。" + han[25:] + "！"
+    odd = "one two three. " + "same " * 60
+    docs = docs_of([(i + 10 * k, t) for k, t in enumerate((lines, han, odd)) for i in (1, 2)])
+    rows = {r["doc_id"]: r for r in sentence_dedup.without_repeats(spark, docs).collect()}
+    for k in (0, 10, 20):
+        assert rows[k + 2]["kept_text"] == "" and rows[k + 2]["n_removed"] == rows[k + 2]["n_sentences"] > 0
+    assert rows[1]["kept_text"] == lines and rows[11]["kept_text"] == han
