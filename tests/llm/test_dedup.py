@@ -188,3 +188,22 @@ def test_sentence_spans_of_short_lines(spark, docs_of):
     for k in (0, 10, 20):
         assert rows[k + 2]["kept_text"] == "" and rows[k + 2]["n_removed"] == rows[k + 2]["n_sentences"] > 0
     assert rows[1]["kept_text"] == lines and rows[11]["kept_text"] == han
+
+
+def test_passages_share_spans_wherever_they_stand():
+    """Passages of just over 50 words at unaligned places, with marks here and there or none."""
+    def spans(words):
+        text = " ".join(words)
+        ends, counts = sentence_dedup.sentence_ends(text)
+        stops, places = sentence_dedup.run_ends(counts, 2, 10), [0, *ends.tolist()]
+        return {text[places[i] : places[stop]].strip() for i, stop in enumerate(stops.tolist()) if stop}
+
+    rng = np.random.default_rng(6)
+    for case in range(200):
+        passage = _invented(rng, 52)
+        for at in rng.choice(52, 3, replace=False).tolist() if case % 2 else ():
+            passage[at] += "."
+        one, other = (_invented(rng, n) + passage + _invented(rng, 90) for n in rng.integers(0, 80, 2).tolist())
+        assert spans(one) & spans(other)
+    repeat = ["same"] * 60
+    assert spans(_invented(rng, 33) + repeat) & spans(_invented(rng, 46) + repeat + _invented(rng, 9))
