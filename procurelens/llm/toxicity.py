@@ -33,7 +33,7 @@ from procurelens.llm.labelled import fold, release_memory, smallest_hashes, text
 
 FOLDS, HELD_OUT = 3, 1
 #: Labelled rows that training reads, of each class.
-MOST_EACH = 1500
+MOST_EACH = 2500
 #: Score from which a document counts as toxic.
 THRESHOLD = 0.7
 BUCKETS, DIM = 1 << 18, 4
@@ -42,8 +42,8 @@ GRAMS = (3, 4)
 EPOCHS, STEPS, BATCH, RATE = 8, 600, 64, 0.02
 #: Words of no toxicity that every document counts besides its own, so that few words prove little.
 PRIOR_WORDS = 20
-#: Documents of the sample that must use a table row for it to be trained.
-LEAST_DOCS = 20
+#: Brings shares to the range where half precision is exact to a thousandth.
+SHARE_SCALE = 1024.0
 #: Keeps rows of small gradients, which are mostly noise, from moving as far as others.
 EPSILON = 1e-5
 #: Weight decay of the vectors that a batch uses.
@@ -135,76 +135,24 @@ def bag_of(text: str | None) -> Bag:
     return " ".join(words), np.fromiter(words.values(), "int32", len(words))
 
 
-class _Vocabulary:
-    """Table rows of the words of the training sample."""
-
-    def __init__(self, bags: list[Bag]):
-        self.number: dict[str, int] = {}
-        for words, _ in bags:
-            for word in words.split():
-                self.number.setdefault(word, len(self.number))
-        words, rows, counts = list(self.number), [], []
-        for at in range(0, len(words), 20_000):
-            part = words[at : at + 20_000]
-            found, word = subwords(part)
-            rows.append(found.astype("int32"))
-            counts.append(np.bincount(word, minlength=len(part)))
-        self.rows, self.counts = np.concatenate(rows), np.concatenate(counts)
-        self.starts = np.cumsum(self.counts) - self.counts
-
-    def of(self, bag: Bag) -> tuple[np.ndarray, np.ndarray]:
-        """Table rows of a document with words, and the share that each has in its average."""
-        ids = np.fromiter(map(self.number.__getitem__, bag[0].split()), "int64", len(bag[1]))
-        counts = self.counts[ids]
-        ends = np.cumsum(counts)
-        within = np.arange(ends[-1]) - np.repeat(ends - counts, counts)
-        rows = self.rows[np.repeat(self.starts[ids], counts) + within]
-        weight = np.log1p(bag[1])
-        share = weight / (weight.sum() + PRIOR_WORDS) / counts
-        own, back = np.unique(rows, return_inverse=True)
-        return own, np.bincount(back, np.repeat(share, counts)).astype("float32")
-
-    def common_rows(self, bags: list[Bag], least: int) -> np.ndarray:
-        """True for the table rows that ``least`` documents use."""
-        used = np.zeros(BUCKETS, "int32")
-        for bag in bags:
-            used[self.of(bag)[0]] += 1
-        return used >= least
+#: Table rows of a document with words, and the share of each in its average, times SHARE_SCALE in half precision.
+Entries = tuple[np.ndarray, np.ndarray]
 
 
-@dataclass
-class _Batch:
-    """Documents by table row: entries in document order, and the order that sorts them by row."""
-
-    rows: np.ndarray
-    shares: np.ndarray
-    doc: np.ndarray
-    doc_starts: np.ndarray
-    by_row: np.ndarray
-    row_starts: np.ndarray
-    labels: np.ndarray
-    weights: np.ndarray
-
-
-def _batch(bags: list[Bag], labels: np.ndarray, weights: np.ndarray, words: _Vocabulary, common: np.ndarray) -> _Batch:
-    data = [words.of(b) for b in bags]
-    data = [(rows[common[rows]], shares[common[rows]]) for rows, shares in data]
-    full = [i for i, (rows, _) in enumerate(data) if len(rows)]
-    data, labels, weights = [data[i] for i in full], labels[full], weights[full]
-    counts = np.array([len(d[0]) for d in data])
-    rows = np.concatenate([np.empty(0, "int32"), *[d[0] for d in data]])
-    by_row = np.argsort(rows, kind="stable").astype("int32")
-    row_starts = np.flatnonzero(np.diff(rows[by_row], prepend=-1))
-    doc = np.repeat(np.arange(len(data), dtype="uint16"), counts)
-    shares = np.concatenate([np.empty(0, "float32"), *[d[1] for d in data]])
-    return _Batch(rows, shares, doc, np.cumsum(counts) - counts, by_row, row_starts, labels, weights)
+def entries_of(bag: Bag) -> Entries:
+    rows, word = subwords(bag[0].split())
+    weight = np.log1p(bag[1])
+    share = weight / (weight.sum() + PRIOR_WORDS) / np.bincount(word, minlength=len(weight))
+    own, back = np.unique(rows, return_inverse=True)
+    return own.astype("int32"), (np.bincount(back, share[word]) * SHARE_SCALE).astype("float16")
 
 
 def train(bags: list[Bag], labels: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> SubwordModel:
     """Adam on vectors and softmax layer together; ``weights`` are per document.
 
-    Table rows that fewer than ``LEAST_DOCS`` documents use keep the zero vector, and documents
-    without others are left out. Batches are made once and visited in a new order each time.
+    Documents without words are left out. Every table row that a document uses is trained. Between
+    steps only the table rows and shares of the documents are kept; batches have fixed members
+    and are put together when their turn comes, in a new order each time.
     """
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.01, (BUCKETS, DIM)).astype("float32")
@@ -212,25 +160,23 @@ def train(bags: list[Bag], labels: np.ndarray, weights: np.ndarray, epochs: int
     params = [vectors, layer, bias]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     order = [d for d in rng.permutation(len(bags)) if len(bags[d][1])]
-    words = _Vocabulary(bags)
-    common = words.common_rows([bags[d] for d in order], LEAST_DOCS)
-    vectors[~common] = 0
-    batches = [
-        _batch([bags[d] for d in part], labels[part], weights[part], words, common)
-        for part in (order[at : at + BATCH] for at in range(0, len(order), BATCH))
-    ]
-    batches = [b for b in batches if len(b.rows)]
-    del words
+    entries = {d: entries_of(bags[d]) for d in order}
+    batches = [order[at : at + BATCH] for at in range(0, len(order), BATCH)]
     step = 0
     for _ in range(max(epochs, -(-STEPS // max(len(batches), 1)))):
-        for b in (batches[i] for i in rng.permutation(len(batches))):
-            hidden = np.add.reduceat(vectors[b.rows] * b.shares[:, None], b.doc_starts, axis=0)
+        for part in (batches[i] for i in rng.permutation(len(batches))):
+            rows = np.concatenate([entries[d][0] for d in part])
+            shares = np.concatenate([entries[d][1] for d in part]).astype("float32") / SHARE_SCALE
+            sizes = np.array([len(entries[d][0]) for d in part])
+            by_row = np.argsort(rows, kind="stable")
+            row_starts = np.flatnonzero(np.diff(rows[by_row], prepend=-1))
+            hidden = np.add.reduceat(vectors[rows] * shares[:, None], np.cumsum(sizes) - sizes, axis=0)
             logits = GAIN * hidden @ layer + bias
             chance = np.exp(logits - logits.max(axis=1, keepdims=True))
             chance /= chance.sum(axis=1, keepdims=True)
-            slope = (chance - np.eye(2, dtype="float32")[b.labels]) * b.weights[:, None] / len(b.labels)
-            push = b.shares[:, None] * (GAIN * slope @ layer.T)[b.doc]
-            used, gradient = b.rows[b.by_row[b.row_starts]], np.add.reduceat(push[b.by_row], b.row_starts, axis=0)
+            slope = (chance - np.eye(2, dtype="float32")[labels[part]]) * weights[part][:, None] / len(part)
+            push = shares[:, None] * np.repeat(GAIN * slope @ layer.T, sizes, axis=0)
+            used, gradient = rows[by_row[row_starts]], np.add.reduceat(push[by_row], row_starts, axis=0)
             step += 1
             rate = RATE * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
             everything = slice(None)

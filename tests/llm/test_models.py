@@ -91,6 +91,18 @@ def test_misspellings_share_subwords():
     assert odd > 0.7 > 0.5 > plain
 
 
+def test_rare_words_are_trained():
+    """Each of five words marks four documents of a class of twenty, and none of them is in more."""
+    rng = random.Random(8)
+    calm = [f"calm{rng.randrange(200)}" for _ in range(4000)]
+    marks = ["zyxgrub", "quovkelp", "jimflod", "wratchub", "ghysnop"]
+    texts = [" ".join(rng.sample(calm, 40) + ([marks[i // 2 % 5]] * 3 if i % 2 else [])) for i in range(40)]
+    model = toxicity.train([toxicity.bag_of(t) for t in texts], np.arange(40) % 2, np.ones(40, "float32"))
+    plain = " ".join(calm[:40])
+    scores = model.score_batch([plain, *(f"{plain} {m} {m} {m}" for m in marks)], {})
+    assert scores[1:].min() > 0.7 > scores[0] + 0.1
+
+
 def test_toxicity_edge_cases(spark, edge, empty, sf_dir):
     labels = table(spark, sf_dir, "labels")
     model = toxicity.fit(table(spark, sf_dir, "documents"), labels)
