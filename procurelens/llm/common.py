@@ -35,6 +35,12 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def numbered(spark: SparkSession, docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The documents, written once with a number of each row, and the column that holds it."""
+    row = fresh(docs, "_row")
+    return saved(spark, docs.withColumn(row, F.monotonically_increasing_id()), name), row
+
+
 def bucket_bits(rows: int, per_bucket: int = 1000) -> int:
     """Bits that give buckets of about ``per_bucket`` rows."""
     return max(1, (max(rows, 1) // per_bucket).bit_length())

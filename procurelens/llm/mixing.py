@@ -14,7 +14,7 @@ with a third of all rows is never one task. One row per source is assumed to fit
 Defined cases: a null text has no words; a null source is a source, the last one; ids may be
 null or repeat, every row is mixed on its own; a source without words takes nothing; an empty
 table gives an empty mix; extra columns are ignored by ``mix`` and kept by ``mixed_documents``,
-where rows that share an id follow the smallest take among them.
+which numbers the rows, so that each follows its own take. Null ids share one place, as in ``OP2_SQL``.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from procurelens.llm.common import WORD, bucket_bits, fresh, running_total, saved, table
+from procurelens.llm.common import WORD, bucket_bits, fresh, numbered, running_total, saved, table
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -42,8 +42,8 @@ def van_der_corput(i: Column, bits: int = POINT_BITS) -> Column:
     return F.conv(F.reverse(F.lpad(F.bin(i), bits, "0")), 2, 10).cast("long")
 
 
-def document_sizes(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """(doc_id, source, size, place): the words of each document and its place in the hash order."""
+def document_sizes(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, source_col: str, row_col: str | None = None) -> DataFrame:
+    """(doc_id, source, size, place, text_key, row): the words of each document and its place in the hash order."""
     place = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":mix"))), 1, 12), 16, 10)
     return saved(
         spark,
@@ -52,6 +52,8 @@ def document_sizes(spark: SparkSession, docs: DataFrame, id_col: str, text_col:
             F.col(source_col).alias("source"),
             F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
             place.cast("long").alias("place"),
+            F.xxhash64(text_col).alias("text_key"),
+            (F.col(row_col) if row_col else F.lit(0).cast("long")).alias("row"),
         ),
         "sizes",
     )
@@ -123,19 +125,20 @@ def mix(
     text_col: str = "text",
     source_col: str = "source",
     block_words: int = BLOCK_WORDS,
+    row_col: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The placed documents and the pieces of the mix.
 
-    Documents: doc_id, source, size, sid, source_size, target, quota, pos and the row key
-    (sid, bucket, nth). Pieces: slot, epoch, the row key, first word and number of words.
+    Documents: doc_id, source, size, row (``row_col``), sid, source_size, target, quota, pos and the
+    row key (sid, bucket, nth). Pieces: slot, epoch, the row key, first word and number of words.
     """
-    sizes = document_sizes(spark, docs, id_col, text_col, source_col)
+    sizes = document_sizes(spark, docs, id_col, text_col, source_col, row_col)
     targets = saved(spark, source_targets(sizes), "targets")
     bits = bucket_bits(sizes.count())
     same = F.col("source").eqNullSafe(F.col("_source"))
     rows = sizes.join(targets.withColumnRenamed("source", "_source"), same).drop("_source")
     rows = rows.withColumn("bucket", F.shiftright("place", ORDER_BITS - bits))
-    order = ["place", "doc_id", "size"]
+    order = ["place", "doc_id", "size", "text_key", "row"]
     rows = rows.withColumn("nth", F.row_number().over(W.partitionBy("sid", "bucket").orderBy(*order)))
     placed = saved(spark, running_total(rows, ["sid"], "bucket", ["nth"], "size", "pos", bits // 2), "placed")
 
@@ -169,21 +172,21 @@ def mixed_documents(
     A cut copy keeps the first words of its text with the white space between them, and
     ``n_chars``, where that column exists, follows its text.
     """
-    taken = taken_words(*mix(spark, docs, id_col, text_col, source_col))
+    columns = docs.columns
+    docs, row = numbered(spark, docs, "mixing_rows")
+    taken = taken_words(*mix(spark, docs, id_col, text_col, source_col, row_col=row)).where("taken > 0")
     key, size, words, copy = (fresh(docs, c) for c in ("_key", "_size", "_taken", "_copy"))
-    takes = taken.groupBy(F.col("doc_id").alias(key)).agg(
-        F.min(F.struct(F.col("taken"), F.col("size"))).alias(words)
-    ).where(f"{words}.taken > 0").select(key, F.col(f"{words}.size").alias(size), F.col(f"{words}.taken").alias(words))
-    rows = docs.join(takes, F.col(id_col).eqNullSafe(F.col(key)))
+    takes = taken.select(F.col("row").alias(key), F.col("size").alias(size), F.col("taken").alias(words))
+    rows = docs.join(takes, F.col(row) == F.col(key))
     rows = rows.withColumn(copy, F.explode(F.expr(f"sequence(1L, ({words} + {size} - 1) div {size})")))
     cut = F.col(words) - (F.col(copy) - 1) * F.col(size)
     lead = F.regexp_extract_all(F.col(text_col), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     whole = F.col(text_col)
     text = F.when(cut >= F.col(size), whole).otherwise(F.array_join(F.slice(lead, F.lit(1), cut.cast("int")), ""))
     rows = rows.withColumn(text_col, text)
-    if "n_chars" in docs.columns:
+    if "n_chars" in columns:
         rows = rows.withColumn("n_chars", F.when(cut >= F.col(size), F.col("n_chars")).otherwise(F.length(text_col)))
-    return rows.select(*docs.columns)
+    return rows.select(*columns)
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

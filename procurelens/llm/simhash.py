@@ -15,7 +15,8 @@ Defined cases: a null or empty text has no shingle and the fingerprint zero, whi
 any other; a text with fewer words than a shingle is one shingle; repeated shingles count
 again; ids that are null give a null component only if no other id is reachable; repeated rows
 get the same answer; an empty table gives an empty result; extra columns are ignored by
-``near_groups`` and kept by ``drop_near_copies``, which keeps all rows of the smallest id.
+``near_groups`` and kept by ``drop_near_copies``, which numbers the rows and keeps one of a component:
+of its smallest id, null last, the text and then the row that come first.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procurelens.llm.common import fresh, saved, table
+from procurelens.llm.common import fresh, numbered, saved, table
 from procurelens.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -210,6 +211,13 @@ def fingerprint_links(spark: SparkSession, prints: DataFrame, most: int = MOST_B
     return found.where("wiped < 0").select("a", "b").unionByName(met.select("a", "b")).distinct()
 
 
+def component_roots(spark: SparkSession, distinct: DataFrame, most: int = MOST_BITS, cap: int = CAP) -> DataFrame:
+    """``distinct`` with ``root``, the fingerprint that names the component of ``fp``."""
+    roots = connected_components(spark, fingerprint_links(spark, distinct.select("fp"), most, cap))
+    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    return rooted.withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_groups(
     spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     width: int = SHINGLE_WORDS, most: int = MOST_BITS, cap: int = CAP,
@@ -217,9 +225,7 @@ def near_groups(
     """(doc_id, fp, component_id) of every document."""
     prints = saved(spark, document_fingerprints(docs, id_col, text_col, width), "fingerprints")
     distinct = saved(spark, prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
-    roots = connected_components(spark, fingerprint_links(spark, distinct.select("fp"), most, cap))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    rooted = rooted.select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    rooted = component_roots(spark, distinct, most, cap)
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     answer = rooted.join(least, "root").select("fp", "component_id")
     return prints.join(answer, "fp").select("doc_id", "fp", "component_id")
@@ -229,11 +235,18 @@ def drop_near_copies(
     spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     width: int = SHINGLE_WORDS, most: int = MOST_BITS,
 ) -> DataFrame:
-    """The documents with the smallest id of their component."""
+    """One document of each component, with its smallest id."""
+    columns = docs.columns
+    docs, row = numbered(spark, docs, "simhash_rows")
+    prints = document_fingerprints(docs, row, text_col, width).select(F.col("doc_id").alias("row"), "fp")
+    ids = docs.select(F.col(row).alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_key"))
+    firsts = prints.join(ids, "row").groupBy("fp").agg(
+        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key", "row")).alias("first")
+    )
+    rooted = component_roots(spark, saved(spark, firsts, "distinct"), most)
     key = fresh(docs, "_kept")
-    groups = near_groups(spark, docs, id_col, text_col, width, most)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(key))
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col(key)), "left_semi")
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(key))
+    return docs.join(kept, F.col(row) == F.col(key), "left_semi").select(*columns)
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,6 +118,13 @@ def test_simhash_edge_cases(spark, edge, empty):
     assert 7 in [r["doc_id"] for r in kept.collect()]
 
 
+def test_near_copies_that_share_an_id_leave_one(spark, docs_of):
+    one, other = "a b c d e f g h", "i j k l m n o p"
+    docs = docs_of([(None, one), (None, one), (None, other), (3, other), (3, "q r s t u v"), (1, "q r s t u v")])
+    kept = [(r["doc_id"], r["text"]) for r in simhash.drop_near_copies(spark, docs).collect()]
+    assert sorted(kept, key=str) == [(1, "q r s t u v"), (3, other), (None, one)]
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)]
     roots = connected_components(spark, spark.createDataFrame(edges, "a long, b long")).collect()

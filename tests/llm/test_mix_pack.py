@@ -87,6 +87,19 @@ def test_mixed_documents_hold_the_words_taken(spark, docs_of):
     assert dict(words) == {i: n for i, n in taken.items() if n}
 
 
+def test_rows_that_share_an_id_are_taken_each_on_its_own(spark, docs_of):
+    texts = ["", "a b c", "d e f g h", "d e f g h", "i j"]
+    docs = docs_of([(i, t, s) for s in ("s", "t") for i in (None, 4) for t in texts])
+    words = defaultdict(int)
+    for r in mixing.mixed_documents(spark, docs).collect():
+        words[r["doc_id"], r["source"]] += len(WORD.findall(r["text"]))
+    want = defaultdict(int)
+    for r in mixing.taken_words(*mixing.mix(spark, docs)).collect():
+        want[r["doc_id"], r["source"]] += r["taken"]
+    assert dict(words) == {k: n for k, n in want.items() if n}
+    assert (words[None, "s"] + words[4, "s"], words[None, "t"] + words[4, "t"]) == (42, 17)  # 60 words by 5 to 2, whole words
+
+
 def _check_packing(rows, texts, sequence=4096):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     pieces, sequences = defaultdict(list), defaultdict(list)
