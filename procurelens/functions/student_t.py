@@ -77,10 +77,11 @@ def upper_quantile(level: np.ndarray, df: np.ndarray) -> np.ndarray:
         raise ArithmeticError("no bound above the quantile")
     for _ in range(200):
         middle = (low + high) / 2
+        # The absolute part ends the search at level 1/2, whose quantile is 0.
+        if np.all((high - low <= 1e-15 * high + 1e-18) | (middle == low) | (middle == high)):
+            return middle
         above = two_sided_tail(middle, df) > tail
         low, high = np.where(above, middle, low), np.where(above, high, middle)
-        if np.all((high - low <= 1e-15 * high) | (middle == low) | (middle == high)):
-            return (low + high) / 2
     raise ArithmeticError("the bisection did not converge")
 
 

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # Every Unicode white-space character plus the four ASCII separators.
 _EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
@@ -43,15 +41,31 @@ def within(text: Column, limit: int) -> Column:
     ).otherwise(text)
 
 
-@F.pandas_udf(StringType())
-def money_label(amounts: pd.Series) -> pd.Series:
+#: Money units (fixed values): least amount and letter.
+_UNITS = [(1e6, "M"), (1e3, "K")]
+
+
+def _two_places(value: Column) -> Column:
+    """A positive double as text with two decimals, its exact value rounded and true halves to even.
+
+    A cast to decimal takes the shortest text of the double, which rounds alike unless it ends in a
+    half of the last place. There the side on which the double lies decides: ``value * 200`` against
+    that half is exact when the double is split in two parts of few bits.
+    """
+    short = value.try_cast("decimal(38,16)")
+    up = F.round(short, 2)
+    high = value.cast("float").cast("double")
+    side = (high * 200 - (short * 200).cast("double")) + (value - high) * 200
+    halves = up - short == F.expr("0.005BD")
+    exact = F.when(~halves | (side > 0), up).when(side < 0, up - F.expr("0.01BD")).otherwise(F.bround(short, 2))
+    return exact.cast("decimal(38,2)").cast("string")
+
+
+def money_label(amount: Column) -> Column:
     """Short money text: millions as ``1.23M``, thousands as ``1.23K``, the rest (every
-    negative amount too) as the plain number. Rounds the exact value of the double, as no
-    built-in format does; it is meant for the few rows of a top list."""
-    def label(amount: float) -> str:
-        for unit, letter in ((1e6, "M"), (1e3, "K")):
-            if amount >= unit:
-                return f"{amount / unit:.2f}{letter}"
-        return str(amount)
-
-    return pd.Series([None if pd.isna(a) else label(float(a)) for a in amounts], dtype="object")
+    negative amount too) as the plain number. Amounts of 10**22 and more have no label."""
+    amount = amount.cast("double")
+    label = F.when(F.isnan(amount), None)
+    for least, letter in _UNITS:
+        label = label.when(amount >= least, F.concat(_two_places(amount / least), F.lit(letter)))
+    return label.otherwise(F.regexp_replace(amount.try_cast("decimal(38,16)").cast("string"), r"(\.\d+?)0+$", "$1"))

@@ -61,7 +61,7 @@ def test_key_violations(spark):
 def test_profiles(spark):
     df = spark.createDataFrame([(1, None), (None, None), (3, "x")], "a int, b string")
     assert quality.null_profile(df).first().asDict() == {"a_nulls": 1, "b_nulls": 2}
-    assert [tuple(r) for r in quality.column_profile(df).collect()] == [(1, "a", "int", 1), (2, "b", "string", 2)]
+    assert [tuple(r) for r in quality.column_profile(df).collect()] == [(1, "a", "int", True, 1), (2, "b", "string", True, 2)]
 
 
 def test_top_rows_break_ties_by_name(spark):
