@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from procurelens.llm import exact_dedup, fingerprints, mixing, packing, quality, sentence_dedup, simhash, suffix_dedup, toxicity, warc
+from procurelens.llm import (
+    exact_dedup,
+    fingerprints,
+    mixing,
+    packing,
+    periodic_runs,
+    quality,
+    sentence_dedup,
+    simhash,
+    suffix_dedup,
+    toxicity,
+    warc,
+)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -15,6 +27,7 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_sentence_spans": sentence_dedup.op9_sentence_spans,
     "op10_packing": packing.op10_packing,
+    "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 
 ORACLE_SQL = {
