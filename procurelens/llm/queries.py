@@ -5,6 +5,7 @@ from __future__ import annotations
 from procurelens.llm import (
     exact_dedup,
     fingerprints,
+    lexical_search,
     mixing,
     packing,
     periodic_runs,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_sentence_spans": sentence_dedup.op9_sentence_spans,
     "op10_packing": packing.op10_packing,
+    "op11_lexical_search": lexical_search.op11_lexical_search,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 
@@ -35,4 +37,5 @@ ORACLE_SQL = {
     "op2_source_mixing": mixing.OP2_SQL,
     "op7_warc": warc.OP7_SQL,
     "op9_sentence_spans": sentence_dedup.OP9_SQL,
+    "op11_lexical_search": lexical_search.OP11_SQL,
 }
