@@ -5,6 +5,7 @@ from __future__ import annotations
 from procurelens.llm import (
     exact_dedup,
     fingerprints,
+    host_trust,
     lexical_search,
     mixing,
     packing,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_sentence_spans": sentence_dedup.op9_sentence_spans,
     "op10_packing": packing.op10_packing,
     "op11_lexical_search": lexical_search.op11_lexical_search,
+    "op12_host_trust": host_trust.op12_host_trust,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 
@@ -38,4 +40,5 @@ ORACLE_SQL = {
     "op7_warc": warc.OP7_SQL,
     "op9_sentence_spans": sentence_dedup.OP9_SQL,
     "op11_lexical_search": lexical_search.OP11_SQL,
+    "op12_host_trust": host_trust.OP12_SQL,
 }
