@@ -355,6 +355,14 @@ ORACLE_SQL: dict[str, str] = {
         FROM sold"""),
     "vendor_summary": with_(SUMMARY, """
         SELECT * FROM summary ORDER BY total_purchase_dollars DESC NULLS FIRST, vendornumber, brand"""),
+    "chunk_ledger": with_(SUMMARY, """
+        SELECT 'purchases' AS table_name, 4 AS chunks, count(*) AS rows FROM purchases WHERE price_c > 0
+        UNION ALL SELECT 'sales', 4, count(*) FROM sales
+        UNION ALL SELECT 'vendor_invoice', 4, count(*) FROM vendor_invoice
+        UNION ALL SELECT 'purchase_prices', 1, count(*) FROM purchase_prices"""),
+    "invoice_versions": with_(SUMMARY, """
+        SELECT 1 AS version, count(*) AS rows, sum(freight_c) / 100.0 AS freight FROM vendor_invoice
+        UNION ALL SELECT 2, count(*), sum(freight_c) / 100.0 FROM vendor_invoice WHERE freight_c > 0"""),
     "summary_clean_py": with_(CLEAN, "SELECT * FROM clean"),
     "summary_clean_sql": STRICT,
     "null_profile": with_(SUMMARY, "SELECT " + ", ".join(
@@ -507,4 +515,5 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'Sales.CSV', 'sales', count(*), 'loaded' FROM sales"""),
 }
 ORACLE_SQL["csv_ingest_roundtrip"] = ORACLE_SQL["vendor_summary"]
+ORACLE_SQL["incremental_vendor_summary"] = ORACLE_SQL["vendor_summary"]
 ORACLE_SQL["csv_chunked_sales"] = ORACLE_SQL["sales_summary"]

@@ -16,6 +16,7 @@ from pyspark.sql.types import StructField, StructType
 from procurelens.functions.numbers import decimals_as_double, round_columns
 from procurelens.operators import quality, ranking, segments, stats
 from procurelens.operators.segments import profitable
+from procurelens.plans import incremental
 from procurelens.plans.build import build_summary
 from procurelens.plans.cleaning import clean_lenient, clean_strict
 from procurelens.plans.summary import freight_by_vendor, purchase_totals, sales_totals, vendor_summary
@@ -23,7 +24,8 @@ from procurelens.schemas import RAW_SCHEMAS, SUMMARY_KEY
 from procurelens.session import work_dir
 from procurelens.sources import csv_folder, star
 from procurelens.sources.naming import clean_name
-from procurelens.sources.tables import replace_path
+from procurelens.sources.snapshots import versions
+from procurelens.sources.tables import read_path, replace_path
 from procurelens.streaming import csv_chunks
 
 Report = Callable[[SparkSession, str], DataFrame]
@@ -40,7 +42,7 @@ def summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = work_dir(spark, "summary_table")
         build_summary(spark, star.load(spark, sf_dir), path)
         _built[key] = path
-    return spark.read.parquet(_built[key])
+    return read_path(spark, _built[key])
 
 
 def raw_summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +52,7 @@ def raw_summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = work_dir(spark, "raw_summary_table")
         replace_path(vendor_summary(star.load(spark, sf_dir), ordered=False), path)
         _built[key] = path
-    return spark.read.parquet(_built[key])
+    return read_path(spark, _built[key])
 
 
 def raw_summary_report(build: Callable[[DataFrame], DataFrame]) -> Report:
@@ -139,6 +141,53 @@ def _cleaned(tables: Mapping[str, DataFrame]) -> DataFrame:
     return clean_lenient(vendor_summary(tables, ordered=False))
 
 
+def incremental_vendor_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vendor summary from three chunks of stored sums; the second comes twice, as after a restart."""
+    path, tables, chunks = work_dir(spark, "partial-sums"), star.load(spark, sf_dir), 3
+    raw = {t: tables[t] for t in incremental.PARTIALS}
+    incremental.add_in_chunks(spark, path, raw, chunks)
+    again = {t: df.where(F.pmod(F.xxhash64(*df.columns), F.lit(chunks)) == 1) for t, df in raw.items()}
+    incremental.add_chunk(spark, path, "chunk-1", again)
+    return decimals_as_double(incremental.incremental_summary(spark, path))
+
+
+def chunk_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the stored sums hold, per raw table, after four chunks that were merged into one part."""
+    path, tables = work_dir(spark, "partial-sums"), star.load(spark, sf_dir)
+    incremental.add_in_chunks(spark, path, {t: tables[t] for t in ("purchases", "sales", "vendor_invoice")}, 4)
+    incremental.add_chunk(spark, path, "prices", {"purchase_prices": tables["purchase_prices"]})
+    incremental.compact(spark, path)
+    return incremental.known_chunks(spark, path).groupBy(F.col("table").alias("table_name")).agg(
+        F.count("*").alias("chunks"), F.sum("rows").alias("rows")
+    )
+
+
+class _Refused(Exception):
+    pass
+
+
+def invoice_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoices replaced by those with freight, which the same table gives, and then by rows that a check refuses."""
+    path = work_dir(spark, "invoice-versions")
+
+    def refuse(rows: DataFrame) -> None:
+        raise _Refused
+
+    replace_path(star.load(spark, sf_dir)["vendor_invoice"], path)
+    replace_path(read_path(spark, path, "freight > 0"), path)
+    try:
+        replace_path(read_path(spark, path, "freight > 100"), path, refuse)
+    except _Refused:
+        pass
+    parts = [
+        read_path(spark, path, version=v.number).agg(
+            F.lit(v.number).alias("version"), F.count("*").alias("rows"), F.sum("freight").alias("freight")
+        )
+        for v in versions(spark, path)
+    ]
+    return decimals_as_double(reduce(DataFrame.unionByName, parts))
+
+
 REPORTS: dict[str, Report] = {
     # raw tables
     "table_row_counts": raw_report(quality.row_counts),
@@ -160,6 +209,9 @@ REPORTS: dict[str, Report] = {
     "vendor_summary": raw_report(vendor_summary),
     "summary_clean_py": raw_report(_cleaned),
     "summary_clean_sql": raw_report(lambda t: clean_strict(vendor_summary(t, ordered=False), strict_volume=False)),
+    "incremental_vendor_summary": incremental_vendor_summary,
+    "chunk_ledger": chunk_ledger,
+    "invoice_versions": invoice_versions,
     # checks on the raw summary
     "null_profile": raw_summary_report(quality.null_profile),
     "column_profile": raw_summary_report(quality.column_profile),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from procurelens.operators.joins import spread_join
 from procurelens.schemas import SUMMARY_COLUMNS
 
-_LINE_KEYS = ["vendornumber", "vendorname", "brand", "description", "purchaseprice"]
+LINE_KEYS = ["vendornumber", "vendorname", "brand", "description", "purchaseprice"]
 
 
 def freight_by_vendor(invoices: DataFrame) -> DataFrame:
@@ -27,15 +27,20 @@ def purchase_totals(purchases: DataFrame, prices: DataFrame) -> DataFrame:
     """
     lines = (
         purchases.where(F.col("purchaseprice") > 0)
-        .groupBy(*_LINE_KEYS)
+        .groupBy(*LINE_KEYS)
         .agg(F.sum("quantity").alias("quantity"), F.sum("dollars").alias("dollars"))
     )
     tariffs = prices.groupBy("brand", F.col("price").alias("actual_price"), "volume").agg(
         F.count("*").alias("copies")
     )
+    return join_purchases(lines, tariffs)
+
+
+def join_purchases(lines: DataFrame, tariffs: DataFrame) -> DataFrame:
+    """Grouped purchase lines and grouped prices with their copies, matched on the brand."""
     dollars_type = lines.schema["dollars"].dataType
     return lines.join(tariffs, "brand").select(
-        *_LINE_KEYS,
+        *LINE_KEYS,
         "actual_price",
         "volume",
         (F.col("quantity") * F.col("copies")).alias("total_purchase_quantity"),
@@ -57,13 +62,18 @@ def vendor_summary(tables: Mapping[str, DataFrame], ordered: bool = True) -> Dat
 
     Pairs without sales and vendors without invoices stay, with NULLs. ``freight_cost`` is a
     figure of the vendor and repeats on each of its rows: do not add it up over rows.
+    """
+    bought = purchase_totals(tables["purchases"], tables["purchase_prices"])
+    sold = sales_totals(tables["sales"]).withColumnRenamed("vendorno", "vendornumber")
+    return join_summary(bought, sold, freight_by_vendor(tables["vendor_invoice"]), ordered)
+
+
+def join_summary(bought: DataFrame, sold: DataFrame, freight: DataFrame, ordered: bool = True) -> DataFrame:
+    """Grouped purchases with grouped sales and freight.
 
     No join is hinted: Spark broadcasts by measured size. The freight join is on the vendor
     alone, and one vendor may own a third of the pairs, hence the spread.
     """
-    bought = purchase_totals(tables["purchases"], tables["purchase_prices"])
-    sold = sales_totals(tables["sales"]).withColumnRenamed("vendorno", "vendornumber")
-    freight = freight_by_vendor(tables["vendor_invoice"])
     pairs = bought.join(sold, ["vendornumber", "brand"], "left")
     summary = spread_join(pairs, freight, "vendornumber", spread_by=["brand"]).select(*SUMMARY_COLUMNS)
     if ordered:

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from procurelens.functions.numbers import lenient_double
 from procurelens.schemas import RAW_SCHEMAS
 from procurelens.sources.naming import UnusableName, clean_names, table_name
+from procurelens.sources.tables import read_path, replace_path
 
 # Texts that stand for a missing value in a CSV field (fixed values).
 MISSING = [
@@ -160,9 +161,7 @@ def load_file(
     try:
         observed = Observation(f"rows of {table}")
         df = read_csv(spark, f"{folder.rstrip('/')}/{file}", schema, multi_line)
-        df.observe(observed, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
-            f"{target.rstrip('/')}/{table}"
-        )
+        replace_path(df.observe(observed, F.count(F.lit(1)).alias("rows")), f"{target.rstrip('/')}/{table}")
         return Load(file, table, observed.get["rows"], "loaded", None, None, time.time() - start)
     except Exception as error:
         condition = getattr(error, "getCondition", lambda: None)() or type(error).__name__
@@ -210,4 +209,4 @@ def load_folder(
 
 
 def loaded_tables(spark: SparkSession, target: str, names: list[str]) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{target.rstrip('/')}/{n}") for n in names}
+    return {n: read_path(spark, f"{target.rstrip('/')}/{n}") for n in names}

@@ -97,7 +97,7 @@ def test_table_sinks_replace(spark):
     tables.replace_table(spark.range(3), "procurelens_sink_test", path)
     assert tables.read_table(spark, "procurelens_sink_test").count() == 3
     assert tables.read_table(spark, "procurelens_sink_test", "id > 0").count() == 2
-    spark.sql("DROP TABLE procurelens_sink_test")
+    spark.sql("DROP VIEW procurelens_sink_test")
 
 
 def test_chunked_load_replaces_then_adds(spark, tmp_path):
