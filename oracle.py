@@ -360,6 +360,15 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'sales', 4, count(*) FROM sales
         UNION ALL SELECT 'vendor_invoice', 4, count(*) FROM vendor_invoice
         UNION ALL SELECT 'purchase_prices', 1, count(*) FROM purchase_prices"""),
+    "csv_quoted_breaks": with_(SUMMARY, """
+        SELECT vendornumber, count(*) AS rows, CAST(sum(length(description || chr(10) || '"' || vendorname || '"')) AS BIGINT) AS characters,
+               CAST(sum(quantity) AS BIGINT) AS quantity
+        FROM purchases GROUP BY vendornumber"""),
+    "csv_row_rejects": with_(SUMMARY, """
+        SELECT 'row' AS kind, count(*) AS records, sum(CASE WHEN ponumber % 10 <> 2 THEN freight_c END) / 100.0 AS freight
+        FROM vendor_invoice WHERE ponumber % 10 NOT IN (0, 1)
+        UNION ALL SELECT 'freight does not fit decimal(15,2)', count(*), NULL FROM vendor_invoice WHERE ponumber % 10 = 0 HAVING count(*) > 0
+        UNION ALL SELECT 'too many fields', count(*), NULL FROM vendor_invoice WHERE ponumber % 10 = 1 HAVING count(*) > 0"""),
     "invoice_versions": with_(SUMMARY, """
         SELECT 1 AS version, count(*) AS rows, sum(freight_c) / 100.0 AS freight FROM vendor_invoice
         UNION ALL SELECT 2, count(*), sum(freight_c) / 100.0 FROM vendor_invoice WHERE freight_c > 0"""),

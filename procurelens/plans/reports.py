@@ -102,6 +102,33 @@ def csv_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.select("file", F.col("table").alias("table_name"), "rows", "status")
 
 
+def csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases whose texts hold line breaks and quotes, written as one CSV file and read back range by range."""
+    folder = work_dir(spark, "csv-breaks")
+    text = F.concat("description", F.lit("\n"), F.lit('"'), "vendorname", F.lit('"'))
+    _write_csv(star.load(spark, sf_dir)["purchases"].select("vendornumber", text.alias("note"), "quantity").coalesce(1), folder)
+    return csv_folder.read_csv(spark, folder).groupBy("vendornumber").agg(
+        F.count("*").alias("rows"), F.sum(F.length("note")).alias("characters"), F.sum("quantity").alias("quantity")
+    )
+
+
+def csv_row_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoices as CSV with broken records: what the load kept, and what it put aside by kind."""
+    folder, target = work_dir(spark, "csv-broken"), work_dir(spark, "tables")
+    freight = F.expr("CASE ponumber % 10 WHEN 0 THEN 'unknown' WHEN 1 THEN concat(freight, ',late') WHEN 2 THEN NULL ELSE CAST(freight AS string) END")
+    lines = star.load(spark, sf_dir)["vendor_invoice"].select(
+        F.concat_ws(",", "vendornumber", "ponumber", freight).alias("vendornumber,ponumber,freight")
+    )
+    lines.write.options(header=True, sep="\x01", quote="").csv(f"{folder}/Vendor Invoice.csv")
+    csv_folder.load_folder(spark, folder, target, max_rejects=2**62)
+    rows = csv_folder.loaded_tables(spark, target, ["vendor_invoice"])["vendor_invoice"]
+    bad = read_path(spark, csv_folder.rejects_path(target, "vendor_invoice"))
+    kind = F.when(F.col("reason").contains("fields instead"), "too many fields").otherwise(F.substring_index("reason", ":", 1))
+    kept = rows.agg(F.lit("row").alias("kind"), F.count("*").alias("records"), F.sum("freight").alias("freight"))
+    aside = bad.groupBy(kind.alias("kind")).agg(F.count("*").alias("records"), F.lit(None).cast("decimal(25,2)").alias("freight"))
+    return decimals_as_double(kept.unionByName(aside))
+
+
 def csv_chunked_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales written as CSV parts, loaded chunk by chunk, and summed per vendor and brand."""
     folder, target = work_dir(spark, "csv"), work_dir(spark, "sales")
@@ -287,5 +314,7 @@ REPORTS: dict[str, Report] = {
     "csv_ingest_roundtrip": csv_ingest_roundtrip,
     "csv_load_audit": csv_load_audit,
     "csv_chunked_sales": csv_chunked_sales,
+    "csv_quoted_breaks": csv_quoted_breaks,
+    "csv_row_rejects": csv_row_rejects,
 }
 

@@ -74,6 +74,6 @@ def load_in_chunks(
 
 def _audited(spark: SparkSession, loaded: DataFrame, source: str, target: str, start: float) -> DataFrame:
     names = [x.rstrip("/").split("/")[-1] for x in (source, target)]
-    row = (*names, loaded.count(), "loaded", None, None, time.time() - start)
+    row = (*names, loaded.count(), 0, "loaded", None, None, time.time() - start)
     spark.createDataFrame([row], AUDIT_SCHEMA).write.mode("overwrite").parquet(f"{target.rstrip('/')}/_load_audit")
     return loaded
