@@ -150,7 +150,8 @@ def judged_pages(
     """(page_id, host, path, rule, verdict, trust, distrust) of every page; the shares are those of its host."""
     listed = rules if isinstance(rules, DataFrame) else spark.createDataFrame(list(rules), "host string, path string, verdict string")
     addressed = with_host(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")))
-    judged = judged_by_rules(addressed.select("page_id", "host", "path"), listed)
+    # Written, so that the sums of a host's pages do not go by the partitions of the join.
+    judged = saved(spark, judged_by_rules(addressed.select("page_id", "host", "path"), listed), "judged")
     scores = spread(spark, seeds(judged), host_links(addressed), rounds)
     part = lambda side: F.coalesce(F.sum(F.when(F.col("side") == side, F.col("score"))), F.lit(0).cast("long"))
     hosts = scores.groupBy("host").agg(part(0).alias("trust"), part(1).alias("distrust"))
