@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from procurelens.llm.common import fresh, saved, table
+from procurelens.llm.common import fresh, saved, table, tidy
 
 #: Counters of a Misra-Gries summary; bounds the broadcast winners.
 COUNTERS = 1000
@@ -40,6 +40,7 @@ def reduce_summary(counts: pd.Series, counters: int) -> pd.Series:
 
 
 def _summaries(counters: int):
+    @tidy
     def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept = pd.Series(dtype="int64")
         for batch in batches:

@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
-import gc
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,10 +28,3 @@ def texts_of(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str) ->
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return texts.join(F.broadcast(sample), "doc_id")
 
-
-def release_memory() -> None:
-    """Give what training freed back to the system; allocators keep it in the driver otherwise."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(AttributeError, OSError):  # not the GNU C library
-        ctypes.CDLL(None).malloc_trim(0)

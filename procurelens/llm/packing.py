@@ -2,7 +2,7 @@
 
 A task turns texts into ids. Texts of Latin letters and common punctuation go word by word: the
 tokenizer's pattern never crosses white space, so the ids of a text are those of its words, and
-the ids of the words that a worker met first are remembered up to a bound. All other texts go
+the ids of the words that a task met first are remembered up to a bound. All other texts go
 through the tokenizer whole. Documents longer than a sequence are first cut into full windows, which
 need no packing; what is left of them, and all shorter documents, are packed by decreasing
 length, each into the open sequence with the least room that still suffices. A segment tree
@@ -29,14 +29,15 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procurelens.llm.common import saved, table
+from procurelens.llm.common import saved, table, tidy
 
 SEQUENCE = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 SHARD_ROWS = 20_000
-#: Words between white space, and words of the tokenizer's pattern, whose ids a worker remembers.
-CACHE_WORDS, CACHE_UNITS = 300_000, 500_000
+#: Bytes of the words between white space, and of the words of the tokenizer's pattern, whose ids a task
+#: remembers; what one takes besides its letters and ids.
+WORD_BYTES, UNIT_BYTES, ENTRY_BYTES = 24 << 20, 24 << 20, 220
 #: Characters that lower-case and normalise alike in every Unicode version, without \x1c to \x1f.
 _PLAIN = re.compile("[\x00-\x1b\x20-\u024f\u2010-\u2027\u2030-\u205e\u20ac]*")
 _UNITS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -61,6 +62,9 @@ class WordEncoder:
         self.words: dict[str, bytes] = {}
         self.units: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        self.words, self.units = {}, {}
+
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
@@ -69,13 +73,13 @@ class WordEncoder:
         if found is None:
             tokens = self.model.tokenize(unit.encode().decode("latin-1").translate(self.letters))
             found = array("I", [t.id for t in tokens]).tobytes()
-            if len(self.units) < CACHE_UNITS:
+            if len(self.units) * ENTRY_BYTES < UNIT_BYTES:
                 self.units[unit] = found
         return found
 
     def word(self, word: str) -> bytes:
         found = b"".join(map(self.unit, _UNITS.findall(word)))
-        if len(self.words) < CACHE_WORDS:
+        if len(self.words) * ENTRY_BYTES < WORD_BYTES:
             self.words[word] = found
         return found
 
@@ -86,7 +90,7 @@ class WordEncoder:
         return b"".join([known(w) or self.word(w) for w in text.lower().split()])
 
 
-#: The encoder of a worker process, which Spark uses again for its next tasks.
+#: The tokenizer of a worker process, which Spark uses again for its next tasks; words are forgotten with the task.
 _encoders: dict[str, WordEncoder] = {}
 
 
@@ -97,6 +101,7 @@ def _encoder(path: str) -> WordEncoder:
 
 
 def _token_pieces(tokenizer: str, sequence: int, end_id: int):
+    @tidy
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import public_tokenizers
 
@@ -113,6 +118,7 @@ def _token_pieces(tokenizer: str, sequence: int, end_id: int):
                     nth += 1
             frame = pd.DataFrame(out, columns=["doc_id", "nth", "start", "length", "ids_crc32", "doc_tokens"])
             yield frame.astype({"doc_id": "Int64"})
+        encoder.forget()
 
     return cut
 

@@ -30,8 +30,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procurelens.llm.common import table
-from procurelens.llm.labelled import fold, release_memory, smallest_hashes, texts_of, training_labels
+from procurelens.llm.common import release_memory, table
+from procurelens.llm.labelled import fold, smallest_hashes, texts_of, training_labels
 
 FOLDS, HELD_OUT = 5, 0
 #: Rows that training reads.

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procurelens.llm.common import fresh, numbered, saved, table
+from procurelens.llm.common import fresh, numbered, saved, table, tidy
 from procurelens.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -77,6 +77,7 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 
 def _fingerprints(width: int):
+    @tidy
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             prints = [fingerprint(shingle_hashes(t or "", width)) for t in batch["text"]]
@@ -147,6 +148,7 @@ def _sweep(most: int, cap: int, keys: list[str]):
     def late(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"a": rows["fp"], "b": rows["fp"], "wiped": rows["wiped"], "variant": rows["variant"]})
 
+    @tidy
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []  # the last key so far, which the next batch may go on with
         over, last = False, None

@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procurelens.llm.common import table
-from procurelens.llm.labelled import fold, release_memory, smallest_hashes, texts_of, training_labels
+from procurelens.llm.common import in_steps, release_memory, table, tidy
+from procurelens.llm.labelled import fold, smallest_hashes, texts_of, training_labels
 
 FOLDS, HELD_OUT = 3, 1
 #: Labelled rows that training reads, of each class.
@@ -50,7 +50,8 @@ EPSILON = 1e-5
 DECAY = 0.02
 #: The mean over thousands of n-grams is small; this brings it to the scale of the layer.
 GAIN = 20.0
-CACHE_WORDS = 300_000
+#: Bytes of the words that a task remembers, and what one takes besides its letters.
+CACHE_BYTES, ENTRY_BYTES = 32 << 20, 300
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -104,7 +105,7 @@ class SubwordModel:
         parts = [_WORD.findall(x) for x in new]
         found = iter(self.word_scores([w for p in parts for w in p]).tolist())
         here = {x: [(w, next(found)) for w in p] for x, p in zip(new, parts, strict=True)}
-        if len(known) < CACHE_WORDS:
+        if len(known) * ENTRY_BYTES < CACHE_BYTES:
             known.update(here)
         scores = []
         for bag in bags:
@@ -189,6 +190,7 @@ def train(bags: list[Bag], labels: np.ndarray, weights: np.ndarray, epochs: int
     return SubwordModel(GAIN * (vectors @ across), float(bias[1] - bias[0]))
 
 
+@tidy
 def _bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         words, counts = zip(*map(bag_of, batch["text"]), strict=True) if len(batch) else ((), ())
@@ -220,6 +222,7 @@ def fit(
 
 
 def _scores(model: SubwordModel):
+    @tidy
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, list[tuple[str, float]]] = {}
         for batch in batches:
@@ -242,9 +245,10 @@ def clean_documents(
     model = fit(docs, labels, id_col, text_col)
     at = docs.columns.index(text_col)
 
+    @tidy
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[tuple[str, float]]] = {}
-        for batch in batches:
+        for batch in in_steps(batches):
             scores = model.score_batch(batch.column(at).to_pylist(), known)
             yield batch.filter(pa.array(scores < threshold))
 
