@@ -38,7 +38,6 @@ ORACLE_SQL = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
     "op2_source_mixing": mixing.OP2_SQL,
     "op7_warc": warc.OP7_SQL,
-    "op9_sentence_spans": sentence_dedup.OP9_SQL,
     "op11_lexical_search": lexical_search.OP11_SQL,
     "op12_host_trust": host_trust.OP12_SQL,
 }

@@ -14,9 +14,14 @@ scripts without blanks every character is a word.
 
 A run of fewer than ``MIN_WORDS`` words, which would repeat by chance, takes as many more sentences
 as reach that count; only where the text ends before it there is no span, and an earlier run then
-covers those sentences. Hashes have 128 bits. First places are combined on the map side, and spans
-meet them in a join that adaptive execution can split, so a passage in a third of all documents is
-no single task.
+covers those sentences. A text in which no run fits is one run as a whole.
+
+Runs of 128 bits meet in three passes over the texts. The first counts the first half of every hash, a
+number per run and no text. From those seen more than once comes a filter of bits, if it is small
+enough to send (``FILTER_BYTES``); the second pass writes only the runs that it lets through, with
+their places, and the exact join on both halves decides. First places are combined on the map side, and
+runs meet them in a join that adaptive execution can split, so a passage in a third of all documents
+is no single task. The third pass takes the sentences out.
 
 Defined cases: a null or empty text has no sentences and an empty kept text; null ids come
 first; rows that repeat id and text are one document and share its answer; ties cannot be, since
@@ -30,10 +35,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procurelens.llm.common import saved, table
+from procurelens.llm.common import in_steps, saved, table, tidy
 
 SPAN = 2
 MIN_WORDS = 10
@@ -46,12 +52,14 @@ REPEAT_WORDS = 7
 MARKS = ".!?。！？｡．؟۔।"
 #: First and last code points of scripts without blanks: Thai and Lao, Burmese, Khmer, kana, Han.
 UNSPACED = ((0xE01, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3041, 0x30FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
-#: A sentence with the white space before it, as ``OP9_SQL`` cuts it.
-PIECE = (
-    r"[\x09-\x0D\x20]*(?:[^\x09-\x0D\x20]*[^\x09-\x0D\x20.!?][\x09\x20]+){0,%d}[^\x09-\x0D\x20]+" % (MAX_SENTENCE_WORDS - 1)
-)
-#: Rows that are cut and sent back at a time.
+#: Rows that are cut at a time.
 STEP = 200
+#: Most bytes of the filter, and bits that it has for each hash.
+FILTER_BYTES, FILTER_BITS = 32 << 20, 16
+#: Odd factors of the two hashes of a run, and their inverses modulo 2**64.
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], "uint64")
+_INVERSES = np.array([pow(int(f), -1, 1 << 64) for f in _FACTORS], "uint64")
+_BLANKS = "\t\n\x0b\x0c\r "
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -102,95 +110,145 @@ def run_ends(words: np.ndarray, span: int, min_words: int) -> np.ndarray:
     n = len(words)
     before = np.concatenate([[0], words[:-1]])
     stops = np.maximum(np.searchsorted(words, before + min_words) + 1, np.arange(n) + span)
-    return np.where(stops <= n, stops, 0)
+    stops = np.where(stops <= n, stops, 0)
+    if n and not stops.any():
+        stops[0] = n
+    return stops
+
+
+def sentences(text: str) -> tuple[list[str], np.ndarray]:
+    """The sentences of a text with the white space before them, and the running count of words."""
+    ends, words = sentence_ends(text)
+    places = [0, *ends.tolist()]
+    return [text[a:b] for a, b in zip(places, places[1:], strict=False)], words
+
+
+def run_hashes(pieces: list[str], stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the runs begin, and the two hashes of each; white space before a sentence does not count.
+
+    A run's hash is a polynomial in those of its sentences, from running sums over the text.
+    """
+    at = np.flatnonzero(stops)
+    digests = b"".join(xxhash.xxh3_128_digest(p.lstrip(_BLANKS).encode("utf-8", "surrogatepass")) for p in pieces)
+    own = np.frombuffer(digests, "<u8").reshape(-1, 2)
+    powers = np.cumprod(np.vstack([np.ones((1, 2), "uint64"), np.tile(_FACTORS, (len(pieces), 1))]), axis=0)
+    back = np.cumprod(np.vstack([np.ones((1, 2), "uint64"), np.tile(_INVERSES, (len(pieces), 1))]), axis=0)
+    sums = np.vstack([np.zeros((1, 2), "uint64"), np.cumsum(own * powers[:-1], axis=0)])
+    return at, _mixed((sums[stops[at]] - sums[at]) * back[at]).view("int64")
+
 
+def _runs_of(text: str, span: int, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hashes of every run of a text."""
+    pieces, words = sentences(text)
+    stops = run_ends(words, span, min_words) if len(words) else words
+    at, hashes = run_hashes(pieces, stops)
+    return at, stops[at], hashes
 
-def _cut(span: int, min_words: int):
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+
+
+def _counts(span: int, min_words: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, STEP):
-                batch = whole.slice(start, STEP)
-                pieces, stops = [], []
-                for text in batch.column(2).to_pylist():
-                    ends, words = sentence_ends(text)
-                    places = [0, *ends.tolist()]
-                    pieces.append([text[a:b] for a, b in zip(places, places[1:], strict=False)])
-                    stops.append(run_ends(words, span, min_words) if len(words) else words)
-                columns = [batch.column(0), batch.column(1), pa.array(pieces, pa.list_(pa.string())), pa.array(stops, pa.list_(pa.int32()))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "pieces", "stops"])
+        for batch in in_steps(batches, STEP):
+            found = [_runs_of(t, span, min_words)[2][:, 0] for t in batch.column(0).to_pylist()]
+            hashes, n = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(n)], ["h1", "n"])
 
     return run
 
 
-def _pieces(docs: DataFrame, id_col: str, text_col: str, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, text_key, pieces, stops): pieces in order, together the text without its last white space, and the ends of runs."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_cut(span, min_words), f"doc_id {kind}, text_key long, pieces array<string>, stops array<int>")
-
-
-def sentence_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
-    """(h1, h2, doc_id, text_key, at, stop): hash, first sentence and sentence after it of every span."""
-    blanks = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
-    rows = _pieces(docs, id_col, text_col, span, min_words).selectExpr(
-        "doc_id", "text_key", "stops", f"transform(pieces, p -> ltrim({blanks}, p)) AS sentences"
-    )
-    rows = rows.selectExpr(
-        "doc_id", "text_key", "stops",
-        "posexplode(transform(stops, (e, i) -> IF(e > 0, array_join(slice(sentences, i + 1, e - i), chr(10)), NULL))) AS (at, span)",
-    ).where("span IS NOT NULL")
-    return rows.select(
-        F.xxhash64("span").alias("h1"), F.xxhash64(F.lit(7), "span").alias("h2"), "doc_id", "text_key", "at", F.expr("stops[at]").alias("stop")
-    )
-
-
-def repeated_sentences(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, text_key, removed, spans): the sentences to remove and the number of spans that cover them."""
-    spans = saved(spark, sentence_spans(docs, id_col, text_col, span, min_words), "spans")
-    place = F.struct("doc_id", "text_key", "at")
-    first = spans.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = spans.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_key", "at", "stop").distinct()
-    covered = F.array_distinct(F.flatten(F.collect_list(F.sequence(F.col("at"), F.col("stop") - 1))))
-    return later.groupBy("doc_id", "text_key").agg(covered.alias("removed"), F.count("*").alias("spans"))
+def repeated_hashes(spark: SparkSession, texts: DataFrame, span: int, min_words: int) -> DataFrame:
+    """(h1): the first halves of hashes that more than one run has; some may differ in the second half."""
+    counts = texts.select("text").mapInArrow(_counts(span, min_words), "h1 long, n long")
+    return saved(spark, counts.groupBy("h1").agg(F.sum("n").alias("n")).where("n > 1").select("h1"), "repeated")
+
 
+def bit_filter(repeated: DataFrame, most_bytes: int = FILTER_BYTES) -> np.ndarray | None:
+    """Words of bits that have two bits set for each hash; None if it would be larger than ``most_bytes``.
 
-def without_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
+    The upper half of a hash chooses the word, the lower twelve bits the bits in it.
+    """
+    size = 1 << max(0, (max(1, repeated.count()) * FILTER_BITS // 64 - 1).bit_length())
+    if size * 8 > most_bytes:
+        return None
+    word = F.pmod(F.shiftright("h1", 32), F.lit(size))
+    bits = F.expr("shiftleft(1L, cast(h1 & 63 as int)) | shiftleft(1L, cast(shiftright(h1, 6) & 63 as int))")
+    # One row per word of the filter, which is at most ``most_bytes``.
+    rows = repeated.select(word.alias("word"), bits.alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(size, "int64")
+    words[rows["word"].to_numpy()] = rows["bits"].to_numpy()
+    return words
+
+
+def let_through(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    bits = (np.int64(1) << (hashes & 63)) | (np.int64(1) << ((hashes >> 6) & 63))
+    return (words[(hashes >> 32) & (len(words) - 1)] & bits) == bits
+
+
+def _places(span: int, min_words: int, words: np.ndarray | None):
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_steps(batches, STEP):
+            rows, parts = [], []
+            for i, text in enumerate(batch.column(2).to_pylist()):
+                at, stop, hashes = _runs_of(text, span, min_words)
+                good = slice(None) if words is None else let_through(words, hashes[:, 0])
+                parts.append((hashes[good], at[good], stop[good]))
+                rows.append(len(parts[-1][1]))
+            hashes, at, stop = (np.concatenate(x) for x in zip(*parts, strict=True))
+            row = pa.array(np.repeat(np.arange(len(rows)), rows))
+            columns = [pa.array(hashes[:, 0]), pa.array(hashes[:, 1]), batch.column(0).take(row), batch.column(1).take(row)]
+            columns += [pa.array(at.astype("int32")), pa.array(stop.astype("int32"))]
+            yield pa.RecordBatch.from_arrays(columns, ["h1", "h2", "doc_id", "text_key", "at", "stop"])
+
+    return run
+
+
+def repeated_spans(spark: SparkSession, texts: DataFrame, span: int, min_words: int, most_bytes: int = FILTER_BYTES) -> DataFrame:
+    """(doc_id, text_key, spans): the runs (at, stop) that another document or an earlier place has first."""
+    words = bit_filter(repeated_hashes(spark, texts, span, min_words), most_bytes)
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    schema = f"h1 long, h2 long, doc_id {kind}, text_key long, at int, stop int"
+    places = saved(spark, texts.mapInArrow(_places(span, min_words, words), schema), "spans")
+    place = F.struct("doc_id", "text_key", "at")
+    first = places.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    later = places.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
+    return later.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "stop")).alias("spans"))
+
+
+def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in in_steps(batches, STEP):
+        out = []
+        for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            pieces, _ = sentences(text)
+            gone = np.zeros(len(pieces) + 1, "int64")
+            for s in spans or ():
+                gone[s["at"]] += 1
+                gone[s["stop"]] -= 1
+            covered = np.cumsum(gone)[:-1] > 0
+            kept = "".join(p for p, c in zip(pieces, covered.tolist(), strict=True) if not c)
+            out.append((len(pieces), int(covered.sum()), len(spans or ()), kept))
+        columns = [batch.column(0), *(pa.array(c) for c in zip(*out, strict=True))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_sentences", "n_removed", "n_spans", "kept_text"])
+
+
+def without_repeats(
+    spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN,
+    min_words: int = MIN_WORDS, most_bytes: int = FILTER_BYTES,
+) -> DataFrame:
     """(doc_id, n_sentences, n_removed, n_spans, kept_text) of every row."""
-    found = repeated_sentences(spark, docs, id_col, text_col, span, min_words)
-    found = found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "removed", "spans")
-    rows = _pieces(docs, id_col, text_col)
+    texts = _texts(docs, id_col, text_col)
+    found = repeated_spans(spark, texts, span, min_words, most_bytes)
+    found = found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "spans")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
-    rows = rows.join(found, same, "left").withColumn("removed", F.coalesce("removed", F.expr("CAST(array() AS array<int>)")))
-    return rows.selectExpr(
-        "doc_id",
-        "CAST(size(pieces) AS long) AS n_sentences",
-        "CAST(size(removed) AS long) AS n_removed",
-        "coalesce(spans, 0L) AS n_spans",
-        "array_join(filter(pieces, (p, i) -> NOT array_contains(removed, i)), '') AS kept_text",
-    )
+    rows = texts.join(found, same, "left").select("doc_id", "text", "spans")
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(tidy(_kept), f"doc_id {kind}, n_sentences long, n_removed long, n_spans long, kept_text string")
 
 
 def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(spark, table(spark, sf_dir, "documents"))
-
-
-_WS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
-OP9_SQL = f"""
-WITH cut AS (
-    SELECT doc_id, coalesce(text, '') AS body, regexp_extract_all(coalesce(text, ''), '{PIECE}') AS pieces FROM documents
-), spans AS (
-    SELECT doc_id, pos, ltrim(pieces[pos + 1], {_WS}) || chr(10) || ltrim(pieces[pos + 2], {_WS}) AS span
-    FROM (SELECT doc_id, pieces, unnest(range(len(pieces) - 1)) AS pos FROM cut)
-), counted AS (
-    SELECT doc_id, pos, row_number() OVER (PARTITION BY span ORDER BY doc_id, pos) AS nth
-    FROM spans WHERE len(regexp_extract_all(span, '[^\\x20\\x09-\\x0D]+')) >= {MIN_WORDS}
-), covered AS (
-    SELECT doc_id, list(DISTINCT s) AS removed, count(DISTINCT pos) AS n
-    FROM (SELECT doc_id, pos, unnest([pos, pos + 1]) AS s FROM counted WHERE nth > 1) GROUP BY doc_id
-)
-SELECT c.doc_id, CAST(len(c.pieces) AS BIGINT) AS n_sentences, CAST(coalesce(len(v.removed), 0) AS BIGINT) AS n_removed,
-       CAST(coalesce(v.n, 0) AS BIGINT) AS n_spans,
-       coalesce(array_to_string(list_filter(c.pieces, lambda p, i: NOT list_contains(coalesce(v.removed, []), i - 1)), ''), '') AS kept_text
-FROM cut c LEFT JOIN covered v USING (doc_id)
-"""
