@@ -142,12 +142,17 @@ class Bundle:
             self.open, self.raw = [], 0
 
     def finish(self, folder: str, name: str) -> pd.DataFrame:
-        """Write the file, then move it into place; returns the index rows."""
+        """Write the file, then move it into place; returns the index rows.
+
+        The name is this attempt's own: a repeated task, whose records may come in another order, makes
+        other bundles, and those that count are the ones that the committed index names.
+        """
         self.close_frame()
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
-        own = f"{root}/.{name}-{uuid.uuid4().hex}"
-        with store.open_output_stream(own) as out:
+        name = f"{name}-{uuid.uuid4().hex}.warc.zst"
+        own = f"{root}/.{name}"
+        with store.open_output_stream(own, compression=None) as out:  # the frames are compressed already
             out.write(b"".join(self.done))
             out.write(seek_table([f[1:] for f in self.frames]))
         store.move(own, f"{root}/{name}")
@@ -160,7 +165,7 @@ def _uri(path: str) -> str:
     return path if "://" in path else "file://" + path.removeprefix("file:")
 
 
-def _write(folder: str):
+def _write(folder: str, bundle_bytes: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
@@ -168,23 +173,23 @@ def _write(folder: str):
         for batch in batches:
             for page_id, url, payload, first_id in batch.itertuples(index=False):
                 bundle.add(page_id, record(page_id, url, payload, first_id))
-                if bundle.size >= BUNDLE_BYTES:
-                    yield bundle.finish(folder, f"pages-{task:06d}-{nth:04d}.warc.zst")
+                if bundle.size >= bundle_bytes:
+                    yield bundle.finish(folder, f"pages-{task:06d}-{nth:04d}")
                     nth, bundle = nth + 1, Bundle()
         if bundle.index:
-            yield bundle.finish(folder, f"pages-{task:06d}-{nth:04d}.warc.zst")
+            yield bundle.finish(folder, f"pages-{task:06d}-{nth:04d}")
 
     return run
 
 
 def write_archives(
     spark: SparkSession, pages: DataFrame, id_col: str = "page_id", body_col: str = "html", url_col: str = "url",
-    least_bytes: int = LEAST_BYTES,
+    least_bytes: int = LEAST_BYTES, bundle_bytes: int = BUNDLE_BYTES,
 ) -> DataFrame:
     """Write the bundles; returns the written index of their records."""
     folder = _uri(work_dir(spark, "warc"))
     rows = record_types(pages, id_col, body_col, url_col, least_bytes).select("page_id", "url", "payload", "first_id")
-    return saved(spark, rows.mapInPandas(_write(folder), _RECORDS), "warc-index")
+    return saved(spark, rows.mapInPandas(_write(folder, bundle_bytes), _RECORDS), "warc-index")
 
 
 def _page(name: str | None):
@@ -221,7 +226,9 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def read_archives(spark: SparkSession, index: DataFrame) -> DataFrame:
     """One row per record of the bundles that an index names, read frame by frame."""
-    return index.select("bundle").distinct().mapInPandas(_read, _READ)
+    bundles = index.select("bundle").distinct()
+    # The list is a few bytes, but each name stands for a whole bundle: one task for each.
+    return bundles.repartition(max(1, bundles.count())).mapInPandas(_read, _READ)
 
 
 def read_record(bundle: str, frame_at: int, frame_size: int, offset: int, size: int) -> bytes:
