@@ -1,11 +1,14 @@
 """Document fingerprints by a homomorphic multiset hash.
 
-A document is the multiset of its paragraphs. Each paragraph is hashed to a wide vector of +1
-and -1 entries, and a fingerprint is the sum of the vectors modulo 2**16. The order of the
-paragraphs does not matter, and a paragraph is inserted or deleted by adding or subtracting its
-vector: the fingerprint of an edited document is that of the original, less the paragraphs that
-went, plus those that came. The entries are small, so the squared length of the difference of two
-fingerprints estimates how many paragraphs are in one and not the other, which gives a likeness.
+A document is the multiset of its paragraphs. Each paragraph is hashed to a wide vector: ``WORDS``
+full 64-bit numbers and ``LANES`` entries of +1 and -1. A fingerprint is the sum of the vectors, the
+numbers modulo 2**64 and the lanes as signed sums (written modulo 2**32, which two thousand million
+equal paragraphs would take to go round). The order of the paragraphs does not matter, and a paragraph
+is inserted or deleted by adding or subtracting its vector: the fingerprint of an edited document is
+that of the original, less the paragraphs that went, plus those that came. The numbers tell different
+multisets apart, however often a paragraph repeats. The entries of the lanes are small, so the squared
+length of the difference of two fingerprints there estimates how many paragraphs are in one and not
+the other, which gives a likeness.
 
 A paragraph here is a sentence-like stretch that ends at a line end or after . ! or ?, trimmed,
 and cut every ``PARAGRAPH_WORDS`` words, so that texts of one long line still have several.
@@ -27,6 +30,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -36,8 +40,10 @@ from pyspark.sql import functions as F
 
 from procurelens.llm.common import table
 
-#: Entries of a fingerprint, each a number modulo 2**16.
-LANES = 256
+#: Numbers of 64 bits of a fingerprint, and signed sums after them.
+WORDS, LANES = 8, 256
+#: Paragraphs that are hashed at a time.
+STEP = 4096
 PARAGRAPH_WORDS = 16
 #: Ranges of ids for each shuffle partition, and quantiles that bound them.
 RANGES_EACH, QUANTILES = 8, 64
@@ -52,19 +58,30 @@ def paragraphs(text: str) -> list[str]:
     return found
 
 
-def vectors(parts: list[str]) -> np.ndarray:
-    """One row of +1 and -1 entries per paragraph."""
-    if not parts:
-        return np.zeros((0, LANES), "int16")
-    size = LANES // 8
-    bits = b"".join(hashlib.blake2b(p.encode("utf-8", "surrogatepass"), digest_size=size).digest() for p in parts)
-    ones = np.unpackbits(np.frombuffer(bits, "uint8").reshape(-1, size), axis=1)
-    return 2 * ones.astype("int16") - 1
+class Vectors(NamedTuple):
+    """One row per paragraph: its numbers, and its entries of +1 and -1."""
 
+    numbers: np.ndarray
+    signs: np.ndarray
 
-def added(rows: np.ndarray) -> np.ndarray:
-    """The sum of vectors modulo 2**16."""
-    return rows.sum(axis=0, dtype="int64").astype("uint16")
+    def after(self, start: int) -> Vectors:
+        return Vectors(self.numbers[start:], self.signs[start:])
+
+
+def vectors(parts: list[str]) -> Vectors:
+    numbers, signs = np.empty((len(parts), WORDS), "uint64"), np.empty((len(parts), LANES), "int8")
+    for at in range(0, len(parts), STEP):
+        some = parts[at : at + STEP]
+        digests = b"".join(hashlib.blake2b(p.encode("utf-8", "surrogatepass"), digest_size=8 * WORDS).digest() for p in some)
+        numbers[at : at + STEP] = np.frombuffer(digests, "<u8").reshape(-1, WORDS)
+        bits = np.frombuffer(digests, "uint8").reshape(-1, 8 * WORDS)[:, : LANES // 8]
+        signs[at : at + STEP] = 2 * np.unpackbits(bits, axis=1).astype("int8") - 1
+    return Vectors(numbers, signs)
+
+
+def added(rows: Vectors) -> np.ndarray:
+    """The sum of vectors: numbers modulo 2**64, then signed sums as two's complements."""
+    return np.concatenate([rows.numbers.sum(axis=0, dtype="uint64"), rows.signs.sum(axis=0, dtype="int64").view("uint64")])
 
 
 def insert(fingerprint: np.ndarray, parts: list[str]) -> np.ndarray:
@@ -79,12 +96,14 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """1 for equal fingerprints, about the shared part of the paragraphs otherwise."""
     if (a == b).all():
         return 1.0
-    length = lambda v: float((v.view("int16").astype("float64") ** 2).sum())
+    length = lambda v: float((v[WORDS:].view("int64").astype("float64") ** 2).sum())
+    if not length(a) + length(b):
+        return 0.0
     return min(1.0, max(0.0, 1 - length(a - b) / (length(a) + length(b))))
 
 
 def as_text(fingerprint: np.ndarray) -> str:
-    return fingerprint.astype("<u2").tobytes().hex()
+    return (fingerprint[:WORDS].astype("<u8").tobytes() + fingerprint[WORDS:].astype("<u4").tobytes()).hex()
 
 
 def edited_text(text: str, following: str) -> str:
@@ -94,7 +113,7 @@ def edited_text(text: str, following: str) -> str:
 
 
 def _answers(columns: list[str]):
-    def fingerprinted(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    def fingerprinted(text: str) -> tuple[list[str], Vectors, np.ndarray]:
         parts = paragraphs(text)
         rows = vectors(parts)
         return parts, rows, added(rows)
@@ -104,7 +123,7 @@ def _answers(columns: list[str]):
         edited = edited_text(text, following)
         changed = paragraphs(edited)
         same = next((i for i, (a, b) in enumerate(zip(parts, changed, strict=False)) if a != b), min(len(parts), len(changed)))
-        moved = own - added(rows[same:]) + added(vectors(changed[same:]))
+        moved = own - added(rows.after(same)) + added(vectors(changed[same:]))
         digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
         return doc_id, len(text), digest, as_text(own), as_text(moved), likeness(own, moved), likeness(own, theirs[2])
 
