@@ -11,8 +11,8 @@ step goes the other way, as in non-negative PU learning. The scorer is linear ov
 roots of the frequencies of character-class pairs (lower and upper case, digit, blank, line end,
 each ASCII punctuation mark) and a few measures of repetition and length.
 
-Training reads bounded samples (``most_positive``, ``most_unlabelled`` rows); scoring runs over
-all documents. Defined cases: a null or empty text has all-zero features and gets a score like
+Training reads bounded samples (``most_positive``, ``most_unlabelled`` rows) and brings them to the mean
+and spread that the features have over all documents; scoring runs over all documents. Defined cases: a null or empty text has all-zero features and gets a score like
 any other; ids may be null or repeat, every row gets its own score; null labels are left out and
 repeated ones averaged; without a positive label every score is 0, without unlabelled texts 1;
 an empty table gives an empty result; extra columns are ignored.
@@ -30,12 +30,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from procurelens.llm.common import release_memory, table
+from procurelens.llm.common import release_memory, table, tidy
 from procurelens.llm.labelled import fold, smallest_hashes, texts_of, training_labels
 
 FOLDS, HELD_OUT = 5, 0
 #: Rows that training reads.
-MOST_POSITIVE, MOST_UNLABELLED = 2000, 3000
+MOST_POSITIVE, MOST_UNLABELLED = 3000, 6000
 #: Score from which a document counts as good.
 THRESHOLD = 0.3
 STEPS, BATCH, RATE, DECAY = 3000, 256, 0.05, 1e-5
@@ -90,13 +90,19 @@ class LinearScorer:
         return 1 / (1 + np.exp(-np.clip(rows @ self.weights + self.bias, -60, 60)))
 
 
-def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS, seed: int = 11) -> LinearScorer:
-    """Stochastic minimisation of the non-negative risk with the logistic loss."""
+def train(
+    positive: np.ndarray, unlabelled: np.ndarray, prior: float, scale: tuple[np.ndarray, np.ndarray] | None = None,
+    steps: int = STEPS, seed: int = 11,
+) -> LinearScorer:
+    """Stochastic minimisation of the non-negative risk with the logistic loss.
+
+    ``scale`` holds the mean and standard deviation of the features, by default those of ``unlabelled``.
+    """
     rng = np.random.default_rng(seed)
     width = positive.shape[1]
     weights, first, second = np.zeros(width + 1), np.zeros(width + 1), np.zeros(width + 1)
-    mean = unlabelled.mean(axis=0)
-    spread = unlabelled.std(axis=0) + 0.01
+    mean, spread = scale or (unlabelled.mean(axis=0), unlabelled.std(axis=0))
+    mean, spread = mean.astype("float32"), spread.astype("float32") + np.float32(0.01)
 
     def ready(rows: np.ndarray) -> np.ndarray:
         return np.hstack([np.clip((rows - mean) / spread, -5, 5), np.ones((len(rows), 1), "float32")])
@@ -127,6 +133,32 @@ def _feature_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"positive": batch["positive"], "features": rows})
 
 
+@tidy
+def _moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    n, total, square = 0, np.zeros(WIDTH), np.zeros(WIDTH)
+    for batch in batches:
+        for text in batch["text"]:
+            row = features(text).astype("float64")
+            n, total, square = n + 1, total + row, square + row * row
+    if n:
+        yield pd.DataFrame({"n": [n], "sums": [total], "squares": [square]})
+
+
+def scale_of(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, np.ndarray] | None:
+    """Mean and standard deviation of every feature over all documents; None without documents.
+
+    A task gives one row of sums, and those are added feature by feature in Spark.
+    """
+    parts = docs.select(F.col(text_col).alias("text")).mapInPandas(_moments, "n long, sums array<double>, squares array<double>")
+    each = parts.select("n", F.posexplode(F.arrays_zip("sums", "squares")).alias("k", "both"))
+    rows = each.groupBy("k").agg(F.sum("n").alias("n"), F.sum("both.sums").alias("x"), F.sum("both.squares").alias("xx")).toPandas()
+    if not len(rows):
+        return None
+    rows = rows.sort_values("k")
+    mean = (rows["x"] / rows["n"]).to_numpy()
+    return mean, np.sqrt(np.maximum((rows["xx"] / rows["n"]).to_numpy() - mean**2, 0))
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     most_positive: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED,
@@ -144,7 +176,7 @@ def fit(
     positive = got["positive"].to_numpy(dtype=bool)
     if not positive.any() or positive.all():
         return LinearScorer(np.zeros(WIDTH, "float32"), 60.0 if positive.any() else -60.0)
-    model = train(rows[positive], rows[~positive], good / total)
+    model = train(rows[positive], rows[~positive], good / total, scale_of(docs, text_col))
     del got, rows
     release_memory()
     return model
