@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from procurelens.functions.numbers import numeric_columns
 from procurelens.functions.student_t import t_quantile, t_tail
+from procurelens.operators.comoments import column_pairs, pair_moments
 from procurelens.operators.quantiles import (
     long_form,
     named_series,
@@ -53,19 +52,12 @@ def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pearson correlation of all column pairs, over the rows where both are present.
 
-    One row per pair and input row is folded on the map side into one row per pair, which
-    generates far less code than an aggregate per pair. NULL where a column is constant.
+    One pass over the rows gives the moments of all pairs (``comoments``), one row per task. NULL where
+    a column is constant.
     """
     columns = columns or numeric_columns(df)
-    doubles = df.selectExpr(*[f"nullif(cast(`{c}` AS double), double('NaN')) AS `{c}`" for c in columns])
-    pairs = [(a, a) for a in columns] + list(combinations(columns, 2))
-    stacked = ", ".join(f"{i}, `{a}`, `{b}`" for i, (a, b) in enumerate(pairs))
-    moments = (
-        doubles.selectExpr(f"stack({len(pairs)}, {stacked}) AS (pair, x, y)")
-        .where("x IS NOT NULL AND y IS NOT NULL")
-        .groupBy("pair")
-        .agg(F.expr("try_divide(covar_pop(x, y), stddev_pop(x) * stddev_pop(y)) AS corr"))
-    )
+    pairs = column_pairs(columns)
+    moments = pair_moments(df, columns).selectExpr("pair", "try_divide(c, sqrt(m2_x) * sqrt(m2_y)) AS corr")
     firsts = ", ".join(f"'{a}'" for a, _ in pairs)
     seconds = ", ".join(f"'{b}'" for _, b in pairs)
     named = moments.selectExpr(
