@@ -158,12 +158,27 @@ def mix(
 
 
 def taken_words(placed: DataFrame, pieces: DataFrame) -> DataFrame:
-    """The placed documents with ``taken``, the words that the mix takes from each."""
+    """The placed documents with ``taken``, the words that the mix takes from each, and ``first_slot``, where it comes first."""
     key = ["sid", "bucket", "nth"]
-    sums = pieces.groupBy(*key).agg(F.sum("words").alias("taken"))
+    sums = pieces.groupBy(*key).agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"))
     return placed.join(sums, key, "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
 
 
+def mixed_blocks(
+    spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """The mix in the order of its schedule: (slot, source, epoch, doc_id, first_word, words), sorted.
+
+    Pieces of one slot are a block of ``block_words`` words of one source; a document that does not fit
+    goes on in the source's next block.
+    """
+    placed, pieces = mix(spark, docs, id_col, text_col, source_col, block_words)
+    rows = pieces.join(placed.select("sid", "bucket", "nth", "source", "doc_id", "pos"), ["sid", "bucket", "nth"])
+    order = ["slot", "epoch", "pos", "first_word", "bucket", "nth"]
+    return rows.orderBy(*order).select("slot", "source", "epoch", "doc_id", "first_word", "words")
+
+
 def mixed_documents(
     spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
 ) -> DataFrame:
@@ -191,7 +206,7 @@ def mixed_documents(
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = taken_words(*mix(spark, table(spark, sf_dir, "documents")))
-    return rows.select("doc_id", "size", "source_size", "target", "taken")
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 OP2_SQL = """
@@ -220,14 +235,38 @@ WITH sized AS (
     SELECT source, source_size, round(CASE WHEN filled THEN cap ELSE least(cap, level * weight) END, 6) AS target
     FROM levelled
 ), placed AS (
-    SELECT s.doc_id, s.size, t.source_size, t.target, CAST(floor(t.target + 1e-6) AS BIGINT) AS quota,
+    SELECT s.doc_id, s.size, t.source, t.source_size, t.target, CAST(floor(t.target + 1e-6) AS BIGINT) AS quota,
            CAST(coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.place, s.doc_id, s.size
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pos
     FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+), wanted AS (
+    SELECT source, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid, CAST(floor(target + 1e-6) AS BIGINT) AS quota FROM targets
+), shares AS (
+    SELECT *, (quota + 511) // 512 AS blocks, CAST(sum(quota) OVER (ORDER BY sid) AS BIGINT) AS upto,
+           CAST(sum(quota) OVER () AS DOUBLE) AS everything FROM wanted
+), edged AS (
+    SELECT sid, source, blocks, CAST(floor((upto - quota) / everything * 1099511627776) AS BIGINT) AS low,
+           CAST(floor(upto / everything * 1099511627776) AS BIGINT) AS high FROM shares WHERE everything > 0
+), points AS (
+    SELECT slot, CAST('0b' || reverse(lpad(bin(slot), 40, '0')) AS BIGINT) AS point
+    FROM (SELECT unnest(range(CAST(sum(blocks) AS BIGINT))) AS slot FROM shares)
+), ranked AS (
+    SELECT slot, sid, blocks, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS rank
+    FROM points JOIN edged ON point >= low AND point < high
+), used AS (
+    SELECT slot, sid, rank FROM ranked WHERE rank < blocks
+), late AS (
+    SELECT sid, unnest(range(have, blocks)) AS rank
+    FROM (SELECT s.sid, s.blocks, count(u.sid) AS have FROM shares s LEFT JOIN used u USING (sid) GROUP BY s.sid, s.blocks)
+), slots AS (
+    SELECT * FROM used UNION ALL
+    SELECT (SELECT CAST(sum(blocks) AS BIGINT) FROM shares) + row_number() OVER (ORDER BY rank, sid) - 1, sid, rank FROM late
 )
 SELECT doc_id, size, source_size, target,
        CAST(CASE WHEN source_size = 0 THEN 0 ELSE
             (quota // source_size) * size
-            + least(size, greatest(0, quota % source_size - pos)) END AS BIGINT) AS taken
-FROM placed
+            + least(size, greatest(0, quota % source_size - pos)) END AS BIGINT) AS taken,
+       CASE WHEN size > 0 AND pos < quota THEN slot END AS first_slot
+FROM placed JOIN (SELECT source, sid FROM wanted) w ON placed.source IS NOT DISTINCT FROM w.source
+LEFT JOIN slots ON slots.sid = w.sid AND slots.rank = pos // 512
 """
