@@ -59,6 +59,11 @@ FILTER_BYTES, FILTER_BITS = 32 << 20, 16
 #: Odd factors of the two hashes of a run, and their inverses modulo 2**64.
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], "uint64")
 _INVERSES = np.array([pow(int(f), -1, 1 << 64) for f in _FACTORS], "uint64")
+#: Powers of the factors and of their inverses, lengthened as texts need it.
+_POWERS = [np.ones((1, 2), "uint64"), np.ones((1, 2), "uint64")]
+#: Whether a code point below 2**16 is a mark.
+_IS_MARK = np.zeros(1 << 16, bool)
+_IS_MARK[[ord(c) for c in MARKS]] = True
 _BLANKS = "\t\n\x0b\x0c\r "
 
 
@@ -89,7 +94,7 @@ def sentence_ends(text: str) -> tuple[np.ndarray, np.ndarray]:
     own = np.add.reduceat(_mixed(codes + (place.astype("uint64") << np.uint64(32))), at[:-1])[word]
     value = _mixed(own * np.uint64(0x9E3779B97F4A7C15) + np.concatenate([[np.uint64(0)], own[:-1]])) | np.uint64(1)
     lines = np.concatenate([[0], np.cumsum(line)])
-    ends = np.isin(codes[stops - 1], [ord(c) for c in MARKS]) | np.append(lines[starts[1:]] > lines[stops[:-1]], True)
+    ends = _IS_MARK[np.minimum(codes[stops - 1], len(_IS_MARK) - 1)] | np.append(lines[starts[1:]] > lines[stops[:-1]], True)
     value[ends] = 0
     wide = np.concatenate([np.full(REACH - 1, ~np.uint64(0)), [np.uint64(0)], value, np.full(REACH, ~np.uint64(0))])
     least = value > 0
@@ -129,14 +134,22 @@ def run_hashes(pieces: list[str], stops: np.ndarray) -> tuple[np.ndarray, np.nda
     A run's hash is a polynomial in those of its sentences, from running sums over the text.
     """
     at = np.flatnonzero(stops)
-    digests = b"".join(xxhash.xxh3_128_digest(p.lstrip(_BLANKS).encode("utf-8", "surrogatepass")) for p in pieces)
+    digests = b"".join(map(xxhash.xxh3_128_digest, [p.lstrip(_BLANKS) for p in pieces]))
     own = np.frombuffer(digests, "<u8").reshape(-1, 2)
-    powers = np.cumprod(np.vstack([np.ones((1, 2), "uint64"), np.tile(_FACTORS, (len(pieces), 1))]), axis=0)
-    back = np.cumprod(np.vstack([np.ones((1, 2), "uint64"), np.tile(_INVERSES, (len(pieces), 1))]), axis=0)
-    sums = np.vstack([np.zeros((1, 2), "uint64"), np.cumsum(own * powers[:-1], axis=0)])
+    powers, back = _powers(len(pieces))
+    sums = np.zeros((len(pieces) + 1, 2), "uint64")
+    np.cumsum(own * powers[: len(pieces)], axis=0, out=sums[1:])
     return at, _mixed((sums[stops[at]] - sums[at]) * back[at]).view("int64")
 
 
+def _powers(n: int) -> list[np.ndarray]:
+    if len(_POWERS[0]) <= n:
+        for i, factors in enumerate((_FACTORS, _INVERSES)):
+            rows = np.tile(factors, (2 * n, 1))
+            _POWERS[i] = np.cumprod(np.vstack([np.ones((1, 2), "uint64"), rows]), axis=0)
+    return _POWERS
+
+
 def _runs_of(text: str, span: int, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and hashes of every run of a text."""
     pieces, words = sentences(text)
@@ -224,14 +237,18 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in in_steps(batches, STEP):
         out = []
         for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            if not spans:
+                ends, _ = sentence_ends(text)
+                out.append((len(ends), 0, 0, text[: ends[-1]] if len(ends) else ""))
+                continue
             pieces, _ = sentences(text)
             gone = np.zeros(len(pieces) + 1, "int64")
-            for s in spans or ():
+            for s in spans:
                 gone[s["at"]] += 1
                 gone[s["stop"]] -= 1
             covered = np.cumsum(gone)[:-1] > 0
             kept = "".join(p for p, c in zip(pieces, covered.tolist(), strict=True) if not c)
-            out.append((len(pieces), int(covered.sum()), len(spans or ()), kept))
+            out.append((len(pieces), int(covered.sum()), len(spans), kept))
         columns = [batch.column(0), *(pa.array(c) for c in zip(*out, strict=True))]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_sentences", "n_removed", "n_spans", "kept_text"])
 
