@@ -524,5 +524,8 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'Sales.CSV', 'sales', count(*), 'loaded' FROM sales"""),
 }
 ORACLE_SQL["csv_ingest_roundtrip"] = ORACLE_SQL["vendor_summary"]
+ORACLE_SQL["clustered_vendor_rows"] = ORACLE_SQL["vendor_rows"]
+ORACLE_SQL["repeated_order_lines"] = """
+    SELECT l_orderkey, l_partkey, count(*) AS rows FROM lineitem GROUP BY l_orderkey, l_partkey HAVING count(*) > 1"""
 ORACLE_SQL["incremental_vendor_summary"] = ORACLE_SQL["vendor_summary"]
 ORACLE_SQL["csv_chunked_sales"] = ORACLE_SQL["sales_summary"]

@@ -14,15 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from procurelens.functions.numbers import decimals_as_double, round_columns
-from procurelens.operators import quality, ranking, segments, stats
+from procurelens.operators import duplicates, quality, ranking, segments, stats
 from procurelens.operators.segments import profitable
 from procurelens.plans import incremental
 from procurelens.plans.build import build_summary
 from procurelens.plans.cleaning import clean_lenient, clean_strict
 from procurelens.plans.summary import freight_by_vendor, purchase_totals, sales_totals, vendor_summary
-from procurelens.schemas import RAW_SCHEMAS, SUMMARY_KEY
+from procurelens.schemas import RAW_SCHEMAS, SUMMARY_KEY, VENDOR_KEYS
 from procurelens.session import work_dir
-from procurelens.sources import csv_folder, star
+from procurelens.sources import clustered, csv_folder, star
 from procurelens.sources.naming import clean_name
 from procurelens.sources.snapshots import versions
 from procurelens.sources.tables import read_path, replace_path
@@ -189,6 +189,21 @@ def chunk_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def clustered_vendor_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drill-down to one vendor on tables that are written clustered by vendor."""
+    tables, root = star.load(spark, sf_dir), work_dir(spark, "clustered")
+    for name, key in VENDOR_KEYS.items():
+        clustered.write_clustered(tables[name], f"{root}/{name}", key)
+    written = {name: clustered.read_clustered(spark, f"{root}/{name}") for name in VENDOR_KEYS}
+    return decimals_as_double(quality.vendor_rows(written, CASE_VENDOR))
+
+
+def repeated_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brands that an order holds on more than one line, by the filter of repeats: nearly all pairs are unique."""
+    lines = spark.read.schema(star.STAR_SCHEMAS["lineitem"]).parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    return duplicates.repeated_keys(lines.select("l_orderkey", "l_partkey"), ["l_orderkey", "l_partkey"])
+
+
 class _Refused(Exception):
     pass
 
@@ -227,6 +242,8 @@ REPORTS: dict[str, Report] = {
         lambda t: quality.duplicate_orders(t["vendor_invoice"], ["vendornumber", "ponumber"])
     ),
     "duplicate_sales_pairs": raw_report(lambda t: quality.duplicate_keys(t["sales"], ["vendorno", "brand"])),
+    "repeated_order_lines": repeated_order_lines,
+    "clustered_vendor_rows": clustered_vendor_rows,
     "price_fan_out": raw_report(lambda t: quality.key_violations(t["purchase_prices"], ["brand"])),
     "price_vendor_brands": raw_report(lambda t: quality.key_violations(t["purchase_prices"], ["vendornumber"])),
     # summary and cleaning

@@ -118,13 +118,17 @@ def commit(
 
 
 def replace(
-    df: DataFrame, path: str, check: Callable[[DataFrame], None] | None = None, keep: int = KEEP, notes: dict | None = None
-) -> Version:
-    """Write a frame as the table's new version. ``check`` sees the written rows and raises to refuse them."""
+    df: DataFrame, path: str, check: Callable[[DataFrame], None] | None = None, keep: int = KEEP, notes: dict | None = None,
+    options: dict[str, str] | None = None,
+) -> Version:
+    """Write a frame as the table's new version. ``check`` sees the written rows and raises to refuse them.
+
+    ``options`` are those of the Parquet writer.
+    """
     spark, part = df.sparkSession, new_part()
     base = current(spark, path)
     folder = f"{_root(path)}/{VERSIONS}/{part}"
-    df.write.parquet(folder)
+    df.write.options(**(options or {})).parquet(folder)
     if check:
         try:
             check(spark.read.schema(df.schema).parquet(folder))
