@@ -142,16 +142,11 @@ class Bundle:
             self.open, self.raw = [], 0
 
     def finish(self, folder: str, name: str) -> pd.DataFrame:
-        """Write the file, then move it into place; returns the index rows.
-
-        The name is this attempt's own: a repeated task, whose records may come in another order, makes
-        other bundles, and those that count are the ones that the committed index names.
-        """
+        """Write the file, then move it into place; returns the index rows."""
         self.close_frame()
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
-        name = f"{name}-{uuid.uuid4().hex}.warc.zst"
-        own = f"{root}/.{name}"
+        own = f"{root}/.{name}-{uuid.uuid4().hex}"
         with store.open_output_stream(own, compression=None) as out:  # the frames are compressed already
             out.write(b"".join(self.done))
             out.write(seek_table([f[1:] for f in self.frames]))
@@ -169,15 +164,17 @@ def _write(folder: str, bundle_bytes: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        task, nth, bundle = TaskContext.get().partitionId(), 0, Bundle()
+        # Names of this attempt's own: a repeated task, whose records may come in another order, makes
+        # other bundles, and those that count are the ones that the committed index names.
+        task, nth, bundle = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}", 0, Bundle()
         for batch in batches:
             for page_id, url, payload, first_id in batch.itertuples(index=False):
                 bundle.add(page_id, record(page_id, url, payload, first_id))
                 if bundle.size >= bundle_bytes:
-                    yield bundle.finish(folder, f"pages-{task:06d}-{nth:04d}")
+                    yield bundle.finish(folder, f"pages-{task}-{nth:04d}.warc.zst")
                     nth, bundle = nth + 1, Bundle()
         if bundle.index:
-            yield bundle.finish(folder, f"pages-{task:06d}-{nth:04d}")
+            yield bundle.finish(folder, f"pages-{task}-{nth:04d}.warc.zst")
 
     return run
 
