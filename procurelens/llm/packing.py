@@ -35,8 +35,8 @@ SEQUENCE = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 SHARD_ROWS = 20_000
-#: Bytes of the words between white space, and of the words of the tokenizer's pattern, whose ids a task
-#: remembers; what one takes besides its letters and ids.
+#: Bytes of the words between white space whose ids a task remembers, and of the words of the tokenizer's
+#: pattern whose ids a worker does; what one takes besides its letters and ids.
 WORD_BYTES, UNIT_BYTES, ENTRY_BYTES = 24 << 20, 24 << 20, 220
 #: Characters that lower-case and normalise alike in every Unicode version, without \x1c to \x1f.
 _PLAIN = re.compile("[\x00-\x1b\x20-\u024f\u2010-\u2027\u2030-\u205e\u20ac]*")
@@ -63,7 +63,8 @@ class WordEncoder:
         self.units: dict[str, bytes] = {}
 
     def forget(self) -> None:
-        self.words, self.units = {}, {}
+        """Drop the words of a task; the fewer units of words stay, within their bound."""
+        self.words = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
