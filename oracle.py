@@ -337,6 +337,17 @@ ORACLE_SQL: dict[str, str] = {
         GROUP BY ALL HAVING count(ponumber) > 1"""),
     "duplicate_sales_pairs": with_(RAW, """
         SELECT vendorno, brand, count(*) AS "rows" FROM sales GROUP BY ALL HAVING count(*) > 1"""),
+    "heavy_vendor_sales": with_(RAW, """
+        SELECT vendorno AS name, sum(dollars_c) / 100.0 AS total FROM sales GROUP BY vendorno
+        ORDER BY sum(dollars_c) DESC, vendorno LIMIT 10"""),
+    "heavy_purchase_descriptions": with_(RAW, """
+        SELECT description AS name, count(*) AS total FROM purchases GROUP BY description
+        ORDER BY count(*) DESC, description LIMIT 10"""),
+    "sales_below_price": with_(RAW, """
+        SELECT vendorno, count(*) AS lines, count(*) FILTER (s.price_c < p.price_c) AS lines_below,
+               sum((p.price_c - s.price_c) * salesquantity) FILTER (s.price_c < p.price_c) / 100.0 AS shortfall
+        FROM sales s LEFT JOIN (SELECT brand, min(price_c) AS price_c FROM purchase_prices GROUP BY brand) p USING (brand)
+        GROUP BY vendorno"""),
     "price_fan_out": with_(RAW, """
         SELECT brand, count(*) AS "rows", 'duplicate key' AS violation FROM purchase_prices
         GROUP BY brand HAVING count(*) > 1"""),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from procurelens.operators.joins import skew_join
 from procurelens.operators.quantiles import quantile_row, with_thresholds
 
 # Fixed values of the reports.
@@ -155,3 +156,19 @@ def unsold_by_vendor(summary: DataFrame) -> DataFrame:
         .groupBy("vendorname")
         .agg(F.sum("unsold_value").alias("unsold_value"))
     )
+
+
+def sales_below_price(sales: DataFrame, prices: DataFrame) -> DataFrame:
+    """Per vendor: lines sold, those under the brand's lowest price, and what they fell short of it.
+
+    Lines meet the price list one by one, and one brand may own a third of them, so the brands that
+    are frequent in the lines are split. Lines of brands without a price count as sold only.
+    """
+    lowest = prices.groupBy("brand").agg(F.min("price").alias("price"))
+    priced = skew_join(sales, lowest, "brand", spread_by=["vendorno", "salesdollars", "salesprice"])
+    short = (F.col("price") - F.col("salesprice")) * F.col("salesquantity")
+    return priced.groupBy("vendorno").agg(
+        F.count("*").alias("lines"),
+        F.count_if(F.col("salesprice") < F.col("price")).alias("lines_below"),
+        F.sum(F.when(F.col("salesprice") < F.col("price"), short)).alias("shortfall"),
+    )

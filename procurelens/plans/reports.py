@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from procurelens.functions.numbers import decimals_as_double, round_columns
-from procurelens.operators import duplicates, quality, ranking, segments, stats
+from procurelens.operators import duplicates, heavy, quality, ranking, segments, stats
 from procurelens.operators.segments import profitable
 from procurelens.plans import incremental
 from procurelens.plans.build import build_summary
@@ -299,6 +299,8 @@ REPORTS: dict[str, Report] = {
     "top10_concentration": summary_report(ranking.top_concentration, 2),
     "purchase_share_with_rest": summary_report(ranking.purchase_share_with_rest, 2),
     "frequency_top10": summary_report(_frequencies),
+    "heavy_vendor_sales": raw_report(lambda t: heavy.top_names(t["sales"], "vendorno", "salesdollars")),
+    "heavy_purchase_descriptions": raw_report(lambda t: heavy.top_names(t["purchases"], "description")),
     # order size and unsold stock
     "order_size_classes": summary_report(
         lambda s: _with_sizes(s).groupBy("order_size").agg(
@@ -308,6 +310,7 @@ REPORTS: dict[str, Report] = {
         )
     ),
     "order_size_prices": summary_report(segments.order_size_prices),
+    "sales_below_price": raw_report(lambda t: segments.sales_below_price(t["sales"], t["purchase_prices"])),
     "unsold_total": summary_report(segments.unsold_total, 2),
     "unsold_by_vendor": summary_report(lambda s: ranking.unsold_top(segments.unsold_by_vendor(s)), 2),
     "unsold_all_vendors": summary_report(segments.unsold_by_vendor, 2),
