@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import factorial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,9 @@ TOP_SALES_QUANTILE = 0.75
 LOW_SALES_QUANTILE = 0.25
 WHISKER = 1.5
 
+#: Sums that each cell of a density curve keeps.
+TERMS = 18
+
 
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles of each numeric column."""
@@ -115,11 +120,29 @@ def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = BINS)
     return named_series(table, columns)
 
 
-def density(df: DataFrame, columns: list[str] | None = None, grid: int = GRID) -> DataFrame:
+def hermite(terms: int) -> list[list[int]]:
+    """Coefficients of the first Hermite polynomials, lowest power first."""
+    found = [[1], [0, 2]]
+    for k in range(1, terms - 1):
+        longer, shorter = [0, *[2 * c for c in found[k]]], found[k - 1]
+        found.append([c - 2 * k * (shorter[j] if j < len(shorter) else 0) for j, c in enumerate(longer)])
+    return found[:terms]
+
+
+def density(df: DataFrame, columns: list[str] | None = None, grid: int = GRID, terms: int = TERMS) -> DataFrame:
     """Gaussian kernel density on an even grid from minimum to maximum, Scott's bandwidth.
 
-    Equal values are folded first. Each remaining row then adds to ``grid`` sums in place, so
-    no row is multiplied by the grid. Columns without spread have no density.
+    A fast Gauss transform: the axis is cut into cells, half as wide as the kernel's unit
+    ``sqrt(2) * bandwidth``, and a value only adds the powers of its distance ``t`` from the middle of
+    its cell to that cell's sums. With ``s`` the distance of a grid point from there,
+
+        exp(-(s - t)^2) = exp(-s^2) * sum over k of H_k(s) * t^k / k!
+
+    gives the cell's part of the curve from its sums, so the cost per row does not depend on the grid,
+    and cells, not distinct values, are shuffled. As ``|t| <= 1/4``, the terms left out are below
+    ``2 * 8^(-terms/2) / sqrt(terms!)`` per row, 2e-16 of a kernel's height with the 18 terms used.
+    ``H_k`` is summed by powers of ``s``, whose rounding the factor ``exp(-s^2)`` keeps as small.
+    Columns without spread have no density.
     """
     columns = columns or numeric_columns(df)
     values = long_form(df, columns)
@@ -136,21 +159,39 @@ def density(df: DataFrame, columns: list[str] | None = None, grid: int = GRID) -
             "series", "n", "low", f"(high - low) / {grid - 1} AS step", "deviation * pow(n, -0.2D) AS bandwidth"
         )
     )
-    weighted = values.groupBy("series", "value").agg(F.count("*").alias("weight"))
-    kernels = [
-        F.expr(f"sum(weight * exp(-0.5D * pow((offset - {i} * step) / bandwidth, 2))) AS k{i}") for i in range(grid)
-    ]
-    sums = (
-        weighted.join(F.broadcast(shape), "series")
-        .selectExpr("series", "weight", "value - low AS offset", "step", "bandwidth", "low", "n")
-        .groupBy("series", "low", "step", "bandwidth", "n")
-        .agg(*kernels)
+    # One row per column on the broadcast side.
+    placed = (
+        values.join(F.broadcast(shape), "series")
+        .selectExpr("series", "(value - low) / (bandwidth * sqrt(2D)) AS place")
+        .selectExpr("series", "floor(place * 2D) AS cell", "place")
+        .selectExpr("series", "cell", "place - (cell + 0.5D) / 2D AS t1")
+    )
+    done = 1
+    while done < terms - 1:
+        more = range(done + 1, min(2 * done, terms - 1) + 1)
+        placed = placed.selectExpr("*", *[f"t{k // 2} * t{k - k // 2} AS t{k}" for k in more])
+        done = more[-1]
+    sums = placed.groupBy("series", "cell").agg(
+        F.expr("cast(count(*) AS double) AS m0"), *[F.sum(f"t{k}").alias(f"m{k}") for k in range(1, terms)]
     )
-    listed = ", ".join(f"k{i}" for i in range(grid))
-    table = sums.selectExpr(
-        "series", "low", "step", "bandwidth", "n", f"posexplode(array({listed})) AS (point, k)"
-    ).selectExpr(
-        "series", "point", "low + point * step AS x", "k / (n * bandwidth * sqrt(2 * pi())) AS density"
+    polynomials = hermite(terms)
+    powers = [
+        " + ".join(f"{polynomials[k][j] / factorial(k)!r}D * m{k}" for k in range(j, terms, 2)) + f" AS b{j}"
+        for j in range(terms)
+    ]
+    series_sum = f"b{terms - 1}"
+    for j in reversed(range(terms - 1)):
+        series_sum = f"b{j} + s * ({series_sum})"
+    table = (
+        sums.selectExpr("series", "cell", *powers)
+        .join(F.broadcast(shape), "series")
+        .selectExpr("*", f"explode(sequence(0, {grid - 1})) AS point")
+        .selectExpr("*", "point * step / (bandwidth * sqrt(2D)) - (cell + 0.5D) / 2D AS s")
+        .selectExpr("series", "point", f"exp(-s * s) * ({series_sum}) AS part")
+        .groupBy("series", "point")
+        .agg(F.sum("part").alias("k"))
+        .join(F.broadcast(shape), "series")
+        .selectExpr("series", "point", "low + point * step AS x", "k / (n * bandwidth * sqrt(2 * pi())) AS density")
     )
     return named_series(table, columns)
 

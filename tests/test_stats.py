@@ -1,5 +1,7 @@
 """Quantiles, segments, distributions and tests against pandas, numpy and brute force."""
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -172,6 +174,31 @@ def test_density_matches_the_formula(spark):
     np.testing.assert_allclose(got.density, want)
 
 
+@pytest.mark.parametrize("values", [
+    np.random.default_rng(4).normal(5, 2, 3000), np.r_[np.random.default_rng(6).exponential(1, 2000), 400.0, -9000.0],
+    np.array([0.0, 1.0]), np.r_[np.full(500, 3.25), 3.5], np.linspace(-1e6, 1e6, 777), np.array([1e-9, 2e-9, 7e-9])])
+def test_density_terms_left_out_are_below_rounding(spark, values):
+    n, h = len(values), values.std(ddof=1) * len(values) ** -0.2
+    grid = np.linspace(values.min(), values.max(), 200)
+    want = np.exp(-0.5 * ((grid[:, None] - values) / h) ** 2).sum(1) / (n * h * np.sqrt(2 * np.pi))
+    for terms, bound in ((18, 1e-10), (10, 2 * 8.0**-5 / math.sqrt(math.factorial(10)))):
+        got = stats.density(frame(spark, x=values), terms=terms).toPandas().sort_values("point")
+        assert len(got) == 200
+        np.testing.assert_allclose(got.density * h, want * h, rtol=0, atol=bound)
+
+
+def test_density_shuffles_cells_and_not_values(spark):
+    df = spark.range(200_000, numPartitions=4).selectExpr("randn(3) AS x")
+    plan = stats.density(df)._jdf.queryExecution().optimizedPlan().toString()
+    grouped = [line for line in plan.splitlines() if "Aggregate [" in line]
+    assert grouped and not any("value" in line.split("],")[0] for line in grouped)
+
+
+def test_hermite_polynomials_match_numpy():
+    for k, own in enumerate(stats.hermite(18)):
+        np.testing.assert_array_equal(own, np.polynomial.hermite.herm2poly([0] * k + [1]))
+
+
 def test_box_statistics(spark):
     x = np.r_[np.arange(1, 12.0), 40.0, -30.0]
     row = stats.box_stats(frame(spark, x=x)).first()
