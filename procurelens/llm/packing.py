@@ -3,7 +3,8 @@
 A task turns texts into ids. Texts of Latin letters and common punctuation go word by word: the
 tokenizer's pattern never crosses white space, so the ids of a text are those of its words, and
 the ids of the words that a task met first are remembered up to a bound. All other texts go
-through the tokenizer whole. Documents longer than a sequence are first cut into full windows, which
+through the tokenizer whole, and so do all texts if the tokenizer's file states other steps than
+those that the words rely on. Documents longer than a sequence are first cut into full windows, which
 need no packing; what is left of them, and all shorter documents, are packed by decreasing
 length, each into the open sequence with the least room that still suffices. A segment tree
 over the remaining room (0 to the length of a sequence) finds it in a few steps.
@@ -18,6 +19,7 @@ A sequence whose fill is a power of two is not padded (``padding`` is 0 there).
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
@@ -40,7 +42,20 @@ SHARD_ROWS = 20_000
 WORD_BYTES, UNIT_BYTES, ENTRY_BYTES = 24 << 20, 24 << 20, 220
 #: Characters that lower-case and normalise alike in every Unicode version, without \x1c to \x1f.
 _PLAIN = re.compile("[\x00-\x1b\x20-\u024f\u2010-\u2027\u2030-\u205e\u20ac]*")
-_UNITS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_UNITS = regex.compile(_PATTERN)
+#: The steps before the model for which a text's ids are those of its words.
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": _PATTERN}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 _PIECES = "doc_id long, nth long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -51,6 +66,13 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def goes_by_words(tokenizer) -> bool:
+    """Whether the tokenizer has the steps that encoding word by word restates, and added tokens that ``<|`` betrays."""
+    steps = [json.loads(step.__getstate__()) if step else None for step in (tokenizer.normalizer, tokenizer.pre_tokenizer)]
+    added = tokenizer.get_added_tokens_decoder().values()
+    return steps == [_NORMALIZER, _PRE_TOKENIZER] and all("<|" in token.content for token in added)
+
+
 class WordEncoder:
     """Ids of texts as unsigned little-endian 32-bit integers, remembering the ids of words."""
 
@@ -58,6 +80,10 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # A file may ask for a length; every id of a text is wanted here.
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.by_words = goes_by_words(self.tokenizer)
         self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.words: dict[str, bytes] = {}
         self.units: dict[str, bytes] = {}
@@ -85,7 +111,7 @@ class WordEncoder:
         return found
 
     def ids(self, text: str) -> bytes:
-        if "<|" in text or not _PLAIN.fullmatch(text):
+        if not self.by_words or "<|" in text or not _PLAIN.fullmatch(text):
             return self.whole(text)
         known = self.words.get
         return b"".join([known(w) or self.word(w) for w in text.lower().split()])

@@ -157,6 +157,27 @@ def test_word_encoder_gives_the_ids_of_the_whole_text(text):
     assert encoder.ids(text) == encoder.whole(text)
 
 
+def test_other_tokenizers_go_through_whole_texts(tmp_path):
+    from tokenizers import Tokenizer, normalizers
+
+    text = "Don't  shout, it's 1999 <|startoftext|> and tab\there"
+    own = public_tokenizers.path("word_bpe_49k.json")
+    assert packing.WordEncoder(own).by_words
+    other = packing.WordEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    assert not other.by_words and other.ids("Hello  World") == other.whole("Hello  World")
+    # The same file with a step less, a plain added token, or a wish to cut texts short.
+    cased, added, short = (Tokenizer.from_file(own) for _ in range(3))
+    cased.normalizer = normalizers.NFC()
+    added.add_tokens(["shout"])
+    short.enable_truncation(3)
+    for name, tokenizer, by_words in (("cased", cased, False), ("added", added, False), ("short", short, True)):
+        tokenizer.save(str(tmp_path / name))
+        encoder = packing.WordEncoder(str(tmp_path / name))
+        tokenizer.no_truncation()
+        want = np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert encoder.by_words == by_words and encoder.ids(text) == want
+
+
 def test_packing_edge_cases(spark, edge, empty):
     rows = packing.pack_documents(spark, edge).collect()
     assert sum(r["start"] == 0 for r in rows) == len(EDGE)
