@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from procurelens.operators.joins import spread_join
 from procurelens.schemas import SUMMARY_COLUMNS
+from procurelens.session import work_dir
 
+#: Vendors whose freight is broadcast, of some 50 bytes each.
+BROADCAST_VENDORS = 1_000_000
 LINE_KEYS = ["vendornumber", "vendorname", "brand", "description", "purchaseprice"]
 
 
@@ -68,14 +71,26 @@ def vendor_summary(tables: Mapping[str, DataFrame], ordered: bool = True) -> Dat
     return join_summary(bought, sold, freight_by_vendor(tables["vendor_invoice"]), ordered)
 
 
-def join_summary(bought: DataFrame, sold: DataFrame, freight: DataFrame, ordered: bool = True) -> DataFrame:
+def join_summary(
+    bought: DataFrame, sold: DataFrame, freight: DataFrame, ordered: bool = True,
+    broadcast_vendors: int = BROADCAST_VENDORS,
+) -> DataFrame:
     """Grouped purchases with grouped sales and freight.
 
-    No join is hinted: Spark broadcasts by measured size. The freight join is on the vendor
-    alone, and one vendor may own a third of the pairs, hence the spread.
+    The freight join is on the vendor alone, and no join before it deals the pairs by vendor. So the
+    freight, one row per vendor, is written first: up to ``BROADCAST_VENDORS`` rows go to every executor
+    and the wide pairs stay where they are. Beyond that the pairs are shuffled, and as one vendor may own a
+    third of them, spread. The other joins are not hinted: Spark broadcasts by measured size.
     """
+    spark, path = bought.sparkSession, work_dir(bought.sparkSession, "freight")
+    freight.write.parquet(path)
+    costs = spark.read.schema(freight.schema).parquet(path)
     pairs = bought.join(sold, ["vendornumber", "brand"], "left")
-    summary = spread_join(pairs, freight, "vendornumber", spread_by=["brand"]).select(*SUMMARY_COLUMNS)
+    if costs.count() <= broadcast_vendors:
+        joined = pairs.join(F.broadcast(costs), "vendornumber", "left")
+    else:
+        joined = spread_join(pairs, costs, "vendornumber", spread_by=["brand"])
+    summary = joined.select(*SUMMARY_COLUMNS)
     if ordered:
         # The keys after the amount make the order total, and let a range sort split ties.
         summary = summary.orderBy(F.desc_nulls_first("total_purchase_dollars"), "vendornumber", "brand")

@@ -50,9 +50,11 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit("  "), "s_name", F.lit(" ")))
         .otherwise(F.col("s_name")).alias("vendorname"),
     )
+    # The join on the part comes last: lines move by supplier before they carry a part's texts, and stay
+    # dealt by brand for what groups and joins by brand next.
     return (
-        lines.join(parts, lines.l_partkey == parts.p_partkey)
-        .join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
+        lines.join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
+        .join(parts, lines.l_partkey == parts.p_partkey)
         .select(
             F.col("l_suppkey").alias("vendornumber"),
             "vendorname",

@@ -9,9 +9,10 @@ from procurelens.operators import quality
 from procurelens.operators.joins import spread_join
 from procurelens.plans.build import build_summary
 from procurelens.plans.cleaning import clean_lenient, clean_strict
-from procurelens.plans.summary import purchase_totals, vendor_summary
+from procurelens.plans.summary import freight_by_vendor, join_summary, purchase_totals, sales_totals, vendor_summary
 from procurelens.schemas import METRIC_COLUMNS, SUMMARY_COLUMNS, SUMMARY_KEY
 from procurelens.session import work_dir
+from procurelens.sources import star
 from procurelens.sources.tables import read_path
 
 GIN = (1, "Acme", 10, "Gin", "2.00", 3, "6.00")
@@ -56,6 +57,38 @@ def test_pairs_without_sales_or_freight_stay(spark):
     assert (bolt.total_sales_dollars, bolt.total_sales_quantity, bolt.freight_cost) == (None, None, None)
 
 
+def test_freight_of_many_vendors_is_spread(spark):
+    t = raw_tables(spark, [GIN, (2, "Bolt", 10, "Gin", "2.00", 1, "2.00"), (None, "Nil", 10, "Gin", "1.00", 1, "1.00")],
+                   [(1, 10, "3.00", "750")], invoices=[(1, 7, "1.50"), (3, 8, "2.50"), (None, 9, "4.00")])
+    sold = sales_totals(t["sales"]).withColumnRenamed("vendorno", "vendornumber")
+    parts = purchase_totals(t["purchases"], t["purchase_prices"]), sold, freight_by_vendor(t["vendor_invoice"])
+    few, many = join_summary(*parts), join_summary(*parts, broadcast_vendors=1)
+    assert rows(few) == rows(many) and few.schema == many.schema
+    assert {r.vendornumber: r.freight_cost for r in few.collect()} == {1: Decimal("1.50"), 2: None, None: None}
+
+
+def test_only_the_sales_move_the_wide_pairs(spark, tmp_path):
+    lines = [(1, 10, 1, 2.0, 8.0, 0.0, 0.1, "O"), (2, 10, 1, 1.0, 4.0, 0.0, 0.1, "F")]
+    star_rows = {"lineitem": lines, "part": [(10, "gin", 5, 900.0)], "supplier": [(1, "Acme")]}
+    for name, data in star_rows.items():
+        spark.createDataFrame(data, star.STAR_SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    kept = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in kept}
+    try:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+        got = vendor_summary(star.load(spark, str(tmp_path)), ordered=False)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    dealt = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    # Lines and suppliers, lines and parts, prices grouped and dealt by brand, pairs and sales.
+    assert len(dealt) == 8, dealt
+    assert not [x for x in dealt if "vendorname" in x or "_part#" in x]
+    assert got.count() == 1
+
+
 def test_two_purchase_prices_break_the_key(spark):
     t = raw_tables(spark, [GIN, (1, "Acme", 10, "Gin", "2.50", 1, "2.50")], [(1, 10, "3.00", "750")])
     assert vendor_summary(t).count() == 2
