@@ -38,13 +38,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from procurelens.llm.common import table
+from procurelens.llm.common import table, tidy
 
 #: Numbers of 64 bits of a fingerprint, and signed sums after them.
 WORDS, LANES = 8, 256
 #: Paragraphs that are hashed at a time.
 STEP = 4096
 PARAGRAPH_WORDS = 16
+#: Rows of one answer of a task: the two fingerprints of a row are 4 kB of text.
+ROWS = 256
 #: Ranges of ids for each shuffle partition, and quantiles that bound them.
 RANGES_EACH, QUANTILES = 8, 64
 _STRETCH = re.compile(r"[^.!?\n]*[.!?\n]*")
@@ -127,11 +129,13 @@ def _answers(columns: list[str]):
         digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
         return doc_id, len(text), digest, as_text(own), as_text(moved), likeness(own, moved), likeness(own, theirs[2])
 
+    @tidy
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         before = None  # the last document of the range so far: (range, id, text, fingerprint)
-        for batch in batches:
+        wanted = ["range", "borrowed", "doc_id", "text"]
+        for few in (batch[wanted].iloc[at : at + ROWS] for batch in batches for at in range(0, len(batch), ROWS)):
             out = []
-            for within, borrowed, doc_id, text in batch[["range", "borrowed", "doc_id", "text"]].itertuples(index=False):
+            for within, borrowed, doc_id, text in few.itertuples(index=False):
                 if borrowed and (before is None or before[0] != within):
                     continue  # a further row with the id of the next range's first document
                 mine = fingerprinted(text)

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 import zstandard
 
@@ -81,6 +82,15 @@ def test_single_document_is_its_own_next(spark, docs_of):
     assert row["edited_sha256"] == hashlib.sha256(b"abcdefab").hexdigest() and row["near_next"] == 1.0
 
 
+def test_fingerprint_answers_are_small():
+    columns = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    n = 3 * fingerprints.ROWS
+    batch = pd.DataFrame({"range": 0, "borrowed": [False] * n + [True], "doc_id": [*range(n), 0], "text": "One. Two."})
+    frames = list(fingerprints._answers(columns)(iter([batch.iloc[:100], batch.iloc[100:]])))
+    assert max(map(len, frames)) <= fingerprints.ROWS
+    assert [i for f in frames for i in f["doc_id"]] == list(range(n))
+
+
 def _held_out(spark, rows, label, big_dir):
     known = {r["doc_id"]: r[label] for r in table(spark, big_dir, "labels").collect()}
     rows = [r for r in rows if r["held_out"] and r["doc_id"] in known]
