@@ -8,6 +8,7 @@ after a lost driver neither loses nor repeats rows.
 from __future__ import annotations
 
 import time
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,9 @@ from procurelens.sources.csv_folder import AUDIT_SCHEMA, CSV_OPTIONS, UnusableFi
 from procurelens.sources.naming import clean_names
 
 CHUNK = "chunk"
+#: Chunks of one load. Each is a commit of its own, whose cost does not depend on its rows, so a source with
+#: more files than fit in so many chunks gets larger ones.
+MOST_CHUNKS = 64
 
 
 def load_in_chunks(
@@ -27,16 +31,20 @@ def load_in_chunks(
     schema: T.StructType,
     files_per_chunk: int = 8,
     checkpoint: str | None = None,
+    most_chunks: int = MOST_CHUNKS,
 ) -> DataFrame:
     """Load what the folder holds now and return the table, with the columns of the schema.
 
+    A chunk is ``files_per_chunk`` files, or as many more as it takes to have ``most_chunks`` chunks at most.
+
     Columns are matched by their cleaned names, all parts have the same header, and values are
     cast strictly. A folder without CSV gives an empty table. Pass the checkpoint of an
     interrupted load to go on with it; a new one starts the table over. One audit row, with the
     rows of the whole table, is written to ``target/_load_audit``.
     """
     start, wanted = time.time(), [f.name for f in schema.fields]
-    if not spark.read.format("binaryFile").load(source).inputFiles():
+    files = len(spark.read.format("binaryFile").load(source).inputFiles())
+    if not files:
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(target)
         return _audited(spark, spark.read.schema(schema).parquet(target), source, target, start)
     header = spark.read.options(**CSV_OPTIONS).csv(source).columns
@@ -45,7 +53,7 @@ def load_in_chunks(
     if absent:
         raise UnusableFile(f"the parts lack the columns {absent}")
     texts = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    reader = spark.readStream.schema(texts).options(**CSV_OPTIONS).option("maxFilesPerTrigger", files_per_chunk)
+    reader = spark.readStream.schema(texts).options(**CSV_OPTIONS).option("maxFilesPerTrigger", max(files_per_chunk, ceil(files / most_chunks)))
     given = reader.csv(source).toDF(*cleaned).select(*[present(name).alias(name) for name in wanted])
     typed = given.select(*[exact_cast(f.name, f.dataType).alias(f.name) for f in schema.fields])
     part = CHUNK

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import types as T
 from helpers import rows
 
+from procurelens.plans import reports
 from procurelens.session import work_dir
 from procurelens.schemas import VENDOR_INVOICE
-from procurelens.sources import csv_folder, naming, tables
+from procurelens.sources import csv_folder, naming, star, tables
 from procurelens.streaming.csv_chunks import load_in_chunks
 
 
@@ -114,6 +115,38 @@ def test_chunked_load_replaces_then_adds(spark, tmp_path):
     assert [r.vendornumber for r in load_in_chunks(spark, str(again), target, VENDOR_INVOICE).collect()] == [9]
 
 
+def test_chunked_load_of_many_files_takes_few_chunks(spark, tmp_path):
+    source, target = tmp_path / "parts", str(tmp_path / "table")
+    write(source, **{f"p{i}.csv": f"vendornumber,ponumber,freight\n{i},7,1.50\n" for i in range(12)})
+    table = load_in_chunks(spark, str(source), target, VENDOR_INVOICE, files_per_chunk=2, most_chunks=3)
+    assert spark.read.parquet(target).select("chunk").distinct().count() == 3
+    assert sorted(r.vendornumber for r in table.collect()) == list(range(12))
+
+
+def test_exact_cast_counts_digits_of_long_numbers_only(spark):
+    cast = csv_folder.exact_cast("x", T.DecimalType(15, 2))
+    good = ["1.50", "-3", "+4.", "1.500", " 2.10 ", "25e-1", "1e2", None]
+    got = spark.createDataFrame([(x,) for x in good], "x string").select(cast).collect()
+    assert [None if r[0] is None else str(r[0]) for r in got] == ["1.50", "-3.00", "4.00", "1.50", "2.10", "2.50", "100.00", None]
+    for bad in ("1.505", "15e-3", "-0.001"):
+        with pytest.raises(Exception, match="does not fit"):
+            spark.createDataFrame([(bad,)], "x string").select(cast).collect()
+
+
+def test_quoted_breaks_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    schemas = star.STAR_SCHEMAS
+    for i in range(3):
+        line = spark.createDataFrame([(i, 10 + i, 1, 2.0 + i, 8.0, 0.0, 0.1, "O")] * 2, schemas["lineitem"])
+        line.coalesce(1).write.mode("append").parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(10 + i, "gin", 5, 900.0) for i in range(3)], schemas["part"]).write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(1, "Acme")], schemas["supplier"]).write.parquet(f"{tmp_path}/supplier.parquet")
+    monkeypatch.setattr(reports, "work_dir", lambda _, name: f"{tmp_path}/{name}")
+    got = reports.csv_quoted_breaks(spark, str(tmp_path)).collect()
+    assert [(r.vendornumber, r.rows, r.quantity) for r in got] == [(1, 6, 18)]
+    assert got[0].characters == 6 * len('gin 10\n"Acme"')
+    assert len(list((tmp_path / "csv-breaks").glob("part-*.csv"))) > 1
+
+
 def test_chunked_load_goes_on_from_its_checkpoint(spark, tmp_path):
     source, target, checkpoint = tmp_path / "parts", str(tmp_path / "table"), str(tmp_path / "state")
     head = "vendornumber,ponumber,freight\n"
