@@ -168,6 +168,54 @@ def test_merged_transforms_sort_all_suffixes():
         assert mask.tolist() == [count[bytes(p[s : s + 16])] > 1 for s in range(len(p) - 15)]
 
 
+def _starts(parts, length):
+    count = Counter(bytes(p[s : s + length]) for p in parts for s in range(len(p) - length + 1))
+    return [[count[bytes(p[s : s + length])] > 1 for s in range(len(p) - length + 1)] for p in parts]
+
+
+def test_only_chains_that_can_repeat_are_sorted(monkeypatch):
+    """Contexts that share an anchor and less than a window leave nothing to merge, others little more than the window."""
+    entries = []
+    merge = suffix_dedup.merge_transforms
+
+    def counted(transforms, passes):
+        entries.append(sum(map(len, transforms)))
+        return merge(transforms, passes)
+
+    monkeypatch.setattr(suffix_dedup, "merge_transforms", counted)
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(0, 256, 700).astype("uint8") for _ in range(40)]
+    anchor = rng.integers(0, 256, 399).astype("uint8")
+    for t in texts:
+        t[150 : 150 + 399] = anchor
+        t[[149, 549]] = rng.choice(256, 2)
+    texts = [t for i, t in enumerate(texts) if not any(t[149] == o[149] or t[549] == o[549] for o in texts[:i])]
+    assert len(texts) > 20 and not np.concatenate(suffix_dedup.repeated_starts(texts)).any()
+    assert sum(entries) == 0
+    texts[1][149:549] = texts[0][149:549]
+    masks = suffix_dedup.repeated_starts(texts)
+    assert [m.tolist() for m in masks] == _starts(texts, 400) and sum(map(sum, masks)) == 2
+    assert 16 <= sum(entries) <= 100
+
+
+@pytest.mark.parametrize("letters", [1, 2, 3])
+def test_repeated_starts_of_odd_lengths_and_periods(letters):
+    rng = np.random.default_rng(letters)
+    for case in range(30):
+        parts = [rng.integers(97, 97 + letters, n).astype("uint8") for n in rng.integers(12, 90, 6)]
+        parts += [np.tile(parts[0][: 1 + case % 7], 9)[:40], parts[1].copy(), parts[2][5:]]
+        parts = [p for p in parts if len(p) >= 12]
+        masks = suffix_dedup.repeated_starts(parts, length=12, stride=(3, 4, 12)[case % 3], shard_bytes=(1, 60, 1 << 18)[case % 3])
+        assert [m.tolist() for m in masks] == _starts(parts, 12)
+
+
+@pytest.mark.parametrize("high", [5, 1 << 62])
+def test_stable_order_of_small_and_large_keys(high):
+    keys = np.random.default_rng(4).integers(0, high, 3000) // 2 * 2
+    assert suffix_dedup.stable_order(keys).tolist() == np.argsort(keys, kind="stable").tolist()
+    assert suffix_dedup.stable_order(keys[:0]).tolist() == []
+
+
 def test_sentence_spans_edge_cases(spark, docs_of, edge, empty):
     passage = "one two three four five six. seven eight nine ten eleven. twelve thirteen fourteen."
     docs = docs_of([(1, f"Start here now. {passage}"), (2, f"{passage} Other end."), (2, f"{passage} Other end."), (3, None)])
