@@ -216,6 +216,44 @@ def test_stable_order_of_small_and_large_keys(high):
     assert suffix_dedup.stable_order(keys[:0]).tolist() == []
 
 
+def _passages(n, seed=8):
+    rng = np.random.default_rng(seed)
+    words = lambda k: rng.integers(97, 123, k).astype("uint8").tobytes().decode()
+    short, long = words(50), words(90)
+    return [(i if i % 7 else None, words(80) + (short if i % 2 else long) + words(80)) for i in range(n)]
+
+
+def test_large_groups_do_not_meet_in_pairs(spark, docs_of, monkeypatch):
+    """Contexts to be merged grow as the documents that hold a passage, also far above the cap."""
+    def counted(*_):
+        def run(batches):
+            for batch in batches:
+                yield pd.DataFrame({"doc_id": [-1], "text_key": [len(batch)], "first": [0], "last": [0]})
+
+        return run
+
+    monkeypatch.setattr(suffix_dedup, "_merge_groups", counted)
+
+    def contexts(n):
+        texts = docs_of(_passages(n)).selectExpr("doc_id", "xxhash64(text) AS text_key", "text")
+        rows = suffix_dedup.covered_windows(spark, texts, length=60, gram=16, stride=10, cap=4)
+        return rows.where("doc_id = -1").agg({"text_key": "sum"}).first()[0] or 0
+
+    assert 0 < contexts(40) <= 4 * 40 and 0 < contexts(160) <= 4 * 160  # 751 and 12,197 when blocks met in pairs
+
+
+def test_passages_far_above_the_cap_against_brute_force(spark, docs_of):
+    rows = _passages(60)
+    rows += [rows[1], rows[2], (500, rows[3][1]), (501, rows[4][1][:150]), (502, rows[1][1][70:140] * 3)]
+    got = suffix_dedup.without_repeated_bytes(spark, docs_of(rows), length=60, gram=16, stride=10, cap=4)
+    assert sorted(map(tuple, got.collect()), key=str) == _brute_bytes(rows, 60)
+
+
+def test_grams_end_with_the_whole_window():
+    assert suffix_dedup.anchor_grams(400, 64) == [64, 232, 358, 400]
+    assert suffix_dedup.anchor_grams(60, 60) == [60]
+
+
 def test_sentence_spans_edge_cases(spark, docs_of, edge, empty):
     passage = "one two three four five six. seven eight nine ten eleven. twelve thirteen fourteen."
     docs = docs_of([(1, f"Start here now. {passage}"), (2, f"{passage} Other end."), (2, f"{passage} Other end."), (3, None)])
