@@ -249,6 +249,18 @@ def test_passages_far_above_the_cap_against_brute_force(spark, docs_of):
     assert sorted(map(tuple, got.collect()), key=str) == _brute_bytes(rows, 60)
 
 
+def test_the_length_of_a_passage_decides_in_bytes_and_not_in_words(spark, docs_of):
+    """Of passages of over 50 words, those of 400 bytes go from every document, shorter ones stay."""
+    rng = np.random.default_rng(3)
+    words = lambda k: " ".join(rng.integers(97, 123, 6).astype("uint8").tobytes().decode() for _ in range(k))
+    short, long = words(57) + ".", words(57) + ".."
+    rows = [(i, f"{words(90)} {i}{p}{9 - i} {words(90)}") for i, p in enumerate([short, short, long, long, "", ""])]
+    got = {r["doc_id"]: r for r in suffix_dedup.without_repeated_bytes(spark, docs_of(rows)).collect()}
+    assert (len(short), len(long)) == (399, 400)
+    assert [(got[i]["n_removed"], got[i]["n_spans"]) for i in range(6)] == [(0, 0)] * 2 + [(400, 1)] * 2 + [(0, 0)] * 2
+    assert [got[i]["n_bytes"] for i in range(6)] == [len(t) for _, t in rows]
+
+
 def test_grams_end_with_the_whole_window():
     assert suffix_dedup.anchor_grams(400, 64) == [64, 232, 358, 400]
     assert suffix_dedup.anchor_grams(60, 60) == [60]
